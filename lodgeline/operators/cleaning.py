@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeline.functions.columns import col
+from lodgeline.operators.shares import with_share
 from lodgeline.schemas import DOUBLE_COLUMNS, INT_COLUMNS, STRING_COLUMNS, Roles
 
 UNUSED = ("arrival_date",)
@@ -136,18 +137,20 @@ def slice_by(df: DataFrame, filters: Mapping[str, Sequence]) -> DataFrame:
 def drop_null_or_keep(df: DataFrame, column: str) -> DataFrame:
     """Drop rows with a null in this column, unless no row would be left.
 
-    Whether any value exists is probed with a limit of one, so the probe stops at the first hit.
+    Whether a value exists is asked beforehand. That job reads one partition, and more only as
+    long as it finds none; the result then is a plain filter, or the frame as it was.
     """
-    found = df.filter(F.col(column).isNotNull()).select(F.lit(1).alias("_one")).limit(1)
-    any_value = found.agg(F.count("_one").alias("_values"))
-    kept = df.crossJoin(F.broadcast(any_value)).filter(F.col(column).isNotNull() | (F.col("_values") == 0))
-    return kept.drop("_values")
+    known = df.filter(F.col(column).isNotNull())
+    return df if known.select(column).isEmpty() else known
+
+
+def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first rows in a given order, so that the same rows come every time."""
+    return df.orderBy(*order_by).limit(n)
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count and share of every non-null value of each column, from one scan."""
-    from lodgeline.operators.reports import with_share
-
     long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "category"
     )

@@ -20,9 +20,8 @@ def feature_table(*sets: DataFrame, columns: Sequence[str] = LOOKUP_FEATURES, ts
 
 
 def newest(source: DataFrame, ts: str = INGESTED_AT) -> DataFrame:
-    """Rows at or after the greatest timestamp of the table; the bound is one row."""
-    high = source.agg(F.max(ts).alias("_high"))
-    return source.crossJoin(F.broadcast(high)).filter(F.col(ts) >= F.col("_high")).drop("_high")
+    """Rows at or after the greatest timestamp of the table, which reaches the scan as a filter."""
+    return source.filter(F.col(ts) >= source.agg(F.max(ts)).scalar())
 
 
 def feature_refresh(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeline.operators.cleaning import slice_by
-from lodgeline.operators.reports import null_safe_join
+from lodgeline.operators.shares import null_safe_join
 from lodgeline.schemas import CANCELED, KEY, NOT_CANCELED, TARGET
 
 # Measures of the visible rows, and measures that fix the status.

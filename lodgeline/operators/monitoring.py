@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeline.functions.columns import bucket
-from lodgeline.operators.reports import null_safe_join, with_totals
+from lodgeline.operators.shares import null_safe_join, with_totals
 
 # Defaults of the business parameters and the alert thresholds.
 COST_PER_CALL = 0.02

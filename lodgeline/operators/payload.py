@@ -29,23 +29,25 @@ SPLIT = T.StructType(
 RESPONSE = T.StructType([T.StructField("predictions", T.ArrayType(T.StringType()))])
 
 
-def _records(form: str) -> Column:
-    """Array of feature records. Bad JSON gives null, a field of the wrong type gives null."""
+def _requests(payload: DataFrame, form: str) -> DataFrame:
+    """Payload with its parsed records: an array of structs, or of cell arrays with `names` beside it.
+
+    Bad JSON gives null, a field of the wrong type gives null.
+    """
     if form == "records":
-        return F.from_json("request", REQUEST)["dataframe_records"]
+        return payload.withColumn("records", F.from_json("request", REQUEST)["dataframe_records"])
     if form != "split":
         raise ValueError(f"unknown request form {form!r}, expected 'records' or 'split'")
-    split = F.from_json("request", SPLIT)["dataframe_split"]
-    names = split["columns"]
+    parsed = payload.withColumn("split", F.from_json("request", SPLIT)["dataframe_split"])
+    return parsed.withColumns({"names": F.col("split.columns"), "records": F.col("split.data")})
 
-    def cell(row: Column, c: str) -> Column:
-        # Position 0 means the column was not sent; index -1 then reads null.
-        return F.get(row, (F.array_position(names, c) - 1).cast("int"))
 
-    def record(row: Column) -> Column:
-        return F.struct(*[cell(row, c).try_cast(type_of(c)).alias(c) for c in FEATURES])
-
-    return F.transform(split["data"], record)
+def _feature(c: str, form: str) -> Column:
+    if form == "records":
+        return F.col("record")[c]
+    # Position 0 means the column was not sent; index -1 then reads null.
+    place = (F.array_position("names", c) - 1).cast("int")
+    return F.get("record", place).try_cast(type_of(c))
 
 
 def flatten(
@@ -72,26 +74,31 @@ def flatten_rows(
     id_column: str = "request_id",
 ) -> DataFrame:
     """The row-wise part of `flatten`, which also runs on streams."""
-    parsed = payload.select(
+    columns = [
         F.col(time_column).alias("timestamp"),
         epoch_ms(payload, time_column).alias("timestamp_ms"),
-        id_column,
-        "execution_duration_ms",
-        _records(form).alias("records"),
+        F.col(id_column),
+        F.col("execution_duration_ms"),
+    ]
+    parsed = _requests(payload, form).select(
+        *columns,
+        *(["names"] if form == "split" else []),
+        "records",
         F.from_json("response", RESPONSE)["predictions"].alias("predictions"),
     )
-    exploded = parsed.select("*", F.posexplode("records").alias("pos", "record"))
-    raw = F.get("predictions", F.col("pos"))
-    label = F.coalesce(F.get_json_object(raw, "$.label"), raw)
-    return exploded.select(
+    # An inner explode would put a filter on the parsed records below the parser, and parse thrice.
+    exploded = parsed.select("*", F.posexplode_outer("records").alias("pos", "record")).filter("pos IS NOT NULL")
+    answered = exploded.withColumn("raw", F.get("predictions", F.col("pos")))
+    labelled = answered.withColumn("label", F.coalesce(F.get_json_object("raw", "$.label"), "raw"))
+    return labelled.select(
         "timestamp",
         "timestamp_ms",
         id_column,
         "pos",
         "execution_duration_ms",
-        *[F.col("record")[c].alias(c) for c in FEATURES],
-        encode_label(label, CANCEL_FLAG).cast("double").alias("prediction"),
-        F.get_json_object(raw, "$.probability").try_cast("double").alias("probability"),
+        *[_feature(c, form).alias(c) for c in FEATURES],
+        encode_label("label", CANCEL_FLAG).cast("double").alias("prediction"),
+        F.get_json_object("raw", "$.probability").try_cast("double").alias("probability"),
         F.lit(model_name).alias("model_name"),
     )
 

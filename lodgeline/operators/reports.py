@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeline.functions.columns import bin_width
+from lodgeline.operators.quantiles import exact_quantiles
+from lodgeline.operators.shares import with_share, with_totals
 from lodgeline.schemas import CANCELED, CAT_FEATURES, KEY, NOT_CANCELED, NUM_FEATURES, TARGET
 
 # The axes a report user can choose from, in their order.
@@ -23,34 +24,6 @@ AXES = (
 DATE_LEVELS = ("year", "quarter", "month", "day")
 
 
-# Shares over grouped frames
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on these columns in which null matches null; the left columns are kept."""
-    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    matches = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
-    return left.join(renamed, matches, how).drop(*[f"_r_{c}" for c in on])
-
-
-def with_totals(grouped: DataFrame, within: Sequence[str], *totals: Column) -> DataFrame:
-    """Add totals over the groups, or over the groups that agree in `within`.
-
-    The grouped frame's shuffle is reused, so its input is read once. Unlike a window without
-    partitions, no task holds all the groups. Without `within` the totals are one row.
-    """
-    if not within:
-        return grouped.crossJoin(F.broadcast(grouped.agg(*totals)))
-    return null_safe_join(grouped, grouped.groupBy(*within).agg(*totals), within)
-
-
-def with_share(grouped: DataFrame, value: str, within: Sequence[str], name: str) -> DataFrame:
-    """Add each row's share of the total of `value`, overall or among rows that agree in `within`."""
-    total = f"_total_{value}"
-    shared = with_totals(grouped, within, F.sum(value).alias(total))
-    return shared.withColumn(name, F.col(value) / F.nullif(F.col(total), F.lit(0))).drop(total)
-
-
 # Bookings by axis, status, date and lead time
 
 
@@ -159,23 +132,20 @@ def key_drivers(
     numeric: Sequence[str] = NUM_FEATURES,
     categorical: Sequence[str] = CAT_FEATURES,
     bins: int = 4,
-    accuracy: int = 100_000,
 ) -> DataFrame:
     """How much likelier the target value is where a factor has a value than elsewhere.
 
-    Numeric factors are cut into quantile bins `Q1`, `Q2`, ...; the edges come from a mergeable
-    sketch whose rank error is at most rows / accuracy, so they are exact on small tables. Only
-    where the edges fall is approximate: the counts are exact.
+    Numeric factors are cut into quantile bins `Q1`, `Q2`, ... at exact edges, which are found
+    first and then stand in the plan as literals. All factors are counted in one scan.
     """
-    shares = [i / bins for i in range(1, bins)]
-    edges = df.agg(*[F.percentile_approx(c, shares, accuracy).alias(f"_edges_{c}") for c in numeric])
+    edges = exact_quantiles(df, numeric, [i / bins for i in range(1, bins)])
     hit = F.when(F.col(target) == value, 1).otherwise(0).alias("hit")
 
     def bin_of(c: str) -> Column:
-        above = [F.when(F.col(c) > F.get(F.col(f"_edges_{c}"), i), 1).otherwise(0) for i in range(bins - 1)]
+        above = [F.when(F.col(c) > F.lit(e), 1).otherwise(0) for e in edges[c]]
         return F.when(F.col(c).isNotNull(), F.concat(F.lit("Q"), (sum(above, F.lit(1))).cast("string")))
 
-    wide = df.crossJoin(F.broadcast(edges)).select(
+    wide = df.select(
         hit, *[bin_of(c).alias(c) for c in numeric], *[F.col(c).cast("string").alias(c) for c in categorical]
     )
     long = wide.unpivot(["hit"], [*numeric, *categorical], "factor", "factor_value")

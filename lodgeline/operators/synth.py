@@ -36,8 +36,8 @@ CLIPPED = (
 YEAR = "arrival_year"
 DRIFTING = ("avg_price_per_room", "lead_time")
 
-GROUPS = 256  # value groups of the two-level running sum
-SLOTS = 1024  # equal slots of the row range that draws and values are joined on
+GROUPS = 4096  # hashed value groups of the two-level running sum
+MIN_SLOTS = 1024  # least number of equal slots of the row range that draws and values are joined on
 
 
 def uniform(seed: int, name: str) -> Column:
@@ -51,44 +51,45 @@ def normal(seed: int, name: str) -> Column:
     return radius * F.cos(2 * math.pi * uniform(seed, f"{name}/a"))
 
 
-def _slot(position: Column, total: Column) -> Column:
-    return F.floor(position * SLOTS / total)
+def _slot(position: Column) -> Column:
+    return F.floor(position * F.col("_slots") / F.col("_total"))
 
 
-def value_intervals(df: DataFrame, column: str) -> DataFrame:
-    """Each value's share of the range 0..rows as a half-open interval, repeated per slot it meets.
+def value_intervals(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Each value's part of the range 0..rows as a half-open interval, and one row of sizes.
 
     The running sum has two levels, within a hashed group of values and over the groups, so no
-    task orders all the values. A frequent value spans many slots and so spreads by itself.
+    task orders all the values. An interval is repeated for every slot it meets: a frequent value
+    spans many slots and so spreads by itself. There are at least as many slots as values, so a
+    slot meets about two intervals, and draws are compared with about two of them.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
     grouped = counts.withColumn("g", F.pmod(F.xxhash64("value"), F.lit(GROUPS)))
-    totals = grouped.groupBy("g").agg(F.sum("n").alias("g_n"))
-    starts = totals.select(
-        "g",
-        (F.sum("g_n").over(Window.orderBy("g")) - F.col("g_n")).alias("g_lo"),
-        F.sum("g_n").over(Window.partitionBy()).alias("rows"),
+    totals = grouped.groupBy("g").agg(F.sum("n").alias("g_n"), F.count("*").alias("g_values"))
+    sizes = totals.agg(
+        F.sum("g_n").alias("_total"), F.greatest(F.sum("g_values"), F.lit(MIN_SLOTS)).alias("_slots")
     )
+    starts = totals.select("g", (F.sum("g_n").over(Window.orderBy("g")) - F.col("g_n")).alias("g_lo"))
     before = F.sum("n").over(Window.partitionBy("g").orderBy("value")) - F.col("n")
     placed = grouped.withColumn("before", before).join(F.broadcast(starts), "g")  # at most GROUPS rows
     placed = placed.withColumn("lo", F.col("g_lo") + F.col("before")).withColumn("hi", F.col("lo") + F.col("n"))
-    slots = F.sequence(_slot(F.col("lo"), F.col("rows")), _slot(F.col("hi") - 1, F.col("rows")))
-    return placed.select(F.explode(slots).alias("slot"), "lo", "hi", "value")
+    slots = F.sequence(_slot(F.col("lo")), _slot(F.col("hi") - 1))
+    spread = placed.crossJoin(F.broadcast(sizes)).select(F.explode(slots).alias("slot"), "lo", "hi", "value")
+    return spread, sizes
 
 
 def _draw_value(rows: DataFrame, df: DataFrame, column: str, seed: int) -> DataFrame:
     """Draw a source value by its frequency, which is to draw the value of a uniform source row."""
-    total = F.col(f"_n_{column}")
-    position = F.floor(uniform(seed, column) * total)
-    drawn = rows.withColumn("_pos", position).withColumn("_slot", _slot(F.col("_pos"), total))
-    hit = (
-        (F.col("_slot") == F.col("slot")) & (F.col("_pos") >= F.col("lo")) & (F.col("_pos") < F.col("hi"))
-    )
-    joined = drawn.join(value_intervals(df, column), hit, "left")
+    intervals, sizes = value_intervals(df, column)
+    position = F.floor(uniform(seed, column) * F.col("_total"))
+    drawn = rows.crossJoin(F.broadcast(sizes)).withColumn("_pos", position)
+    drawn = drawn.withColumn("_slot", _slot(F.col("_pos"))).drop("_total", "_slots")
+    hit = (F.col("_slot") == F.col("slot")) & (F.col("_pos") >= F.col("lo")) & (F.col("_pos") < F.col("hi"))
+    joined = drawn.join(intervals, hit, "left")
     return joined.withColumn(column, F.col("value")).drop("slot", "lo", "hi", "value", "_pos", "_slot")
 
 
-def _source_stats(df: DataFrame, numeric: list[str], times: list[str], drawn: list[str]) -> DataFrame:
+def _source_stats(df: DataFrame, numeric: list[str], times: list[str]) -> DataFrame:
     """One row with what the draws need to know about the source."""
     parts = [F.count("*").alias("_rows")]
     for c in numeric:
@@ -98,7 +99,6 @@ def _source_stats(df: DataFrame, numeric: list[str], times: list[str], drawn: li
     for c in times:
         ms = epoch_ms(df, c)
         parts += [F.min(ms).alias(f"_lo_{c}"), F.max(ms).alias(f"_hi_{c}")]
-    parts += [F.count(c).alias(f"_n_{c}") for c in drawn]
     return df.agg(*parts)
 
 
@@ -124,7 +124,7 @@ def generate(
     drawn = [f.name for f in fields if f.name not in numeric and f.name not in times]
 
     rows = spark.range(n).withColumnRenamed("id", "_row")
-    rows = rows.crossJoin(F.broadcast(_source_stats(df, numeric, times, drawn)))
+    rows = rows.crossJoin(F.broadcast(_source_stats(df, numeric, times)))
     for c in drawn:
         rows = _draw_value(rows, df, c, seed)
 

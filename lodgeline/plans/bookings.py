@@ -116,6 +116,14 @@ def slice_bookings(t: Tables) -> DataFrame:
     return cleaning.slice_by(t.bookings, chosen).select(KEY, "market_segment_type", "arrival_year", TARGET)
 
 
+@query(
+    "limit_n",
+    "SELECT Booking_ID, lead_time FROM bookings ORDER BY lead_time DESC, Booking_ID LIMIT 10",
+)
+def limit_n(t: Tables) -> DataFrame:
+    return cleaning.first_n(t.bookings.select(KEY, "lead_time"), 10, [F.col("lead_time").desc(), F.col(KEY)])
+
+
 @query(
     "parse_proba",
     """SELECT Booking_ID, CASE WHEN arrival_date % 10 <> 0 THEN round(booking_status_proba_custom, 6) END AS proba

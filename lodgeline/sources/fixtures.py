@@ -63,7 +63,7 @@ def inference_log(events: DataFrame) -> DataFrame:
 def _event_record(shift: int) -> Column:
     """Request record of an event; features the event does not carry are left out."""
     return F.struct(
-        (F.get_json_object("props", "$.k").cast("int") + shift).alias("lead_time"),
+        (F.col("k") + shift).alias("lead_time"),
         F.col("value").alias("avg_price_per_room"),
         F.col("event_type").alias("market_segment_type"),
         (F.col("user_id") % 4).cast("int").alias("no_of_children"),
@@ -80,7 +80,7 @@ def payload(events: DataFrame, form: str = "records", predictions: str = "labels
         columns = F.array(*[F.lit(c) for c in ("lead_time", "avg_price_per_room", "market_segment_type")])
         rows = [
             F.array(
-                (F.get_json_object("props", "$.k").cast("int") + shift).cast("string"),
+                (F.col("k") + shift).cast("string"),
                 F.col("value").cast("string"),
                 F.col("event_type"),
             )
@@ -105,7 +105,8 @@ def payload(events: DataFrame, form: str = "records", predictions: str = "labels
         one, two_answers = label, other
     answers = F.when(two, F.array(one, two_answers)).otherwise(F.array(one))
     response = F.when(F.col("event_type") != "error", F.to_json(F.struct(answers.alias("predictions"))))
-    return events.select(
+    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return keyed.select(
         F.col("ts").alias("request_time"),
         F.col("event_id").alias("request_id"),
         F.floor(F.col("value") * 10).cast("bigint").alias("execution_duration_ms"),

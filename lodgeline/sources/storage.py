@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from lodgeline.files import exists
 from lodgeline.operators.cleaning import require
-from lodgeline.operators.tables import latest_per_key, stamp, upsert
+from lodgeline.operators.tables import ensure_columns, latest_per_key, stamp, upsert
 from lodgeline.schemas import BOOKING, INGESTED_AT, KEY
 
 MODES = ("overwrite", "append", "upsert")
@@ -22,18 +24,21 @@ def is_path(name: str) -> bool:
     return "/" in name
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """A table by qualified name or by path. Columns added by later writes are null in older rows."""
+def read_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
+    """A table by qualified name or by path. Columns added by later writes are null in older rows.
+
+    Without a schema, that of a path table is merged from all its files by a job of its own.
+    """
     if not is_path(name):
         return spark.table(name)
-    return spark.read.option("mergeSchema", True).parquet(name).drop(KEY_BUCKET)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    return reader.parquet(name).drop(KEY_BUCKET)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     if not is_path(name):
         return spark.catalog.tableExists(name)
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return exists(spark, name)
 
 
 def row_count(spark: SparkSession, name: str) -> int:
@@ -56,7 +61,9 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", key: str = KE
             return _upsert_table(df, name, key)
         df, mode = latest_per_key(df, key, _order(df)), "overwrite"
     if not is_path(name):
-        df.write.mode(mode).option("mergeSchema", True).saveAsTable(name)
+        if mode == "append" and table_exists(spark, name):
+            df = _evolve(df, name)
+        df.write.mode(mode).saveAsTable(name)
     elif buckets or (mode == "append" and bucket_count(spark, name)):
         count = buckets or bucket_count(spark, name)
         _with_bucket(df, key, count).write.mode(mode).partitionBy(KEY_BUCKET).parquet(name)
@@ -70,6 +77,16 @@ def _order(df: DataFrame) -> str | None:
     return INGESTED_AT if INGESTED_AT in df.columns else None
 
 
+def _evolve(df: DataFrame, name: str) -> DataFrame:
+    """Add the frame's new columns to the table, and the table's other columns to the frame."""
+    spark = df.sparkSession
+    stored = {f.name: f.dataType.simpleString() for f in spark.table(name).schema}
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in stored]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+    return ensure_columns(df, stored).select(*spark.table(name).columns)
+
+
 def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     bucketed = df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     # Rows of a folder meet before the write, so that it gets few files; AQE splits a large folder.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from lodgeline.files import exists, is_file
 from lodgeline.functions.columns import utc_instant
 from lodgeline.operators.monitoring import profile_columns, profile_rates
 from lodgeline.operators.payload import flatten_rows
@@ -27,9 +28,9 @@ BATCH = "batch_id"
 def read_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Stream of a parquet folder, or of one file, which is picked out of its folder by name."""
     reader = spark.readStream.schema(schema)
-    file = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).isFile():
-        return reader.option("pathGlobFilter", file.getName()).parquet(file.getParent().toString())
+    if is_file(spark, path):
+        folder, name = path.rsplit("/", 1)
+        return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
 
 
@@ -66,8 +67,7 @@ def _per_batch(
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All micro-batches written so far, with their number; empty before the first."""
     full = StructType([*schema.fields, StructField(BATCH, IntegerType())])
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
 
