@@ -45,9 +45,9 @@ def _per_booking(rows: DataFrame, by: Sequence[str], visible: Column) -> DataFra
         F.count(F.when(visible, lead)).alias("lead_n"),
         F.sum(F.when(canceled, lead)).alias("lead_canceled"),
         F.count(F.when(canceled, lead)).alias("lead_canceled_n"),
-        F.min(F.when(visible, F.col(TARGET))).alias("status_min"),
-        F.max(F.when(visible, F.col(TARGET))).alias("status_max"),
-        flag(visible & F.col(TARGET).isNull()).alias("status_null"),
+        flag(visible & canceled).alias("sees_canceled"),
+        flag(visible & kept).alias("sees_kept"),
+        flag(visible & ~F.coalesce(canceled | kept, F.lit(False))).alias("sees_other"),
     )
 
 
@@ -56,9 +56,9 @@ def _visible_measures() -> list[Column]:
         F.coalesce(F.sum("b_visible"), F.lit(0)).alias("nb_bookings"),
         F.sum("price").alias("revenue_estimated"),
         F.try_divide(F.sum("lead"), F.sum("lead_n")).alias("avg_lead_time"),
-        F.min("status_min").alias("_status_min"),
-        F.max("status_max").alias("_status_max"),
-        F.coalesce(F.max("status_null"), F.lit(0)).alias("_status_null"),
+        F.max("sees_canceled").alias("_sees_canceled"),
+        F.max("sees_kept").alias("_sees_kept"),
+        F.max("sees_other").alias("_sees_other"),
     ]
 
 
@@ -74,10 +74,10 @@ def _fixed_measures() -> list[Column]:
 
 def _pct_canceled() -> Column:
     """1 or 0 when exactly one status is visible, else the share whatever the status choice."""
-    single = (F.col("_status_min") == F.col("_status_max")) & (F.col("_status_null") == 0)
+    canceled, kept, other = F.col("_sees_canceled"), F.col("_sees_kept"), F.col("_sees_other")
     return (
-        F.when(single & (F.col("_status_min") == CANCELED), 1.0)
-        .when(single & (F.col("_status_min") == NOT_CANCELED), 0.0)
+        F.when((canceled == 1) & (kept == 0) & (other == 0), 1.0)
+        .when((kept == 1) & (canceled == 0) & (other == 0), 0.0)
         .otherwise(F.col("_ratio"))
     )
 

@@ -268,7 +268,7 @@ def register_version(registry: DataFrame, name: str, status: str = READY) -> Dat
         F.lit(LATEST_ALIAS).alias("alias"),
     )
     holds = (F.col("model_name") == name) & (F.col("alias") == LATEST_ALIAS)
-    return registry.withColumn("alias", F.when(~F.coalesce(holds, F.lit(False)), F.col("alias"))).unionByName(new)
+    return registry.withColumn("alias", F.when(~F.coalesce(holds, F.lit(False)), F.col("alias"))).unionByName(new, allowMissingColumns=True)
 
 
 def run_log(metrics: DataFrame, run_id: str, params: Mapping[str, str], source: str, as_of: Column) -> DataFrame:
