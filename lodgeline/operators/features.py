@@ -45,12 +45,14 @@ def feature_lookup(
 ) -> DataFrame:
     """Add lookup features by key; every row stays, once.
 
-    Features are cut to one row per key first. They keep their own shuffle, so that AQE can
-    split a key that is hot in `df`.
+    Features are cut to one row per key first, which leaves them partitioned by the key. The join
+    is on the key and its hash, so Spark shuffles both sides for it, and AQE can split a key that
+    is hot in `df`; a join on the key alone would reuse the partitioning and could not be split.
     """
     kept = features.select(key, *columns, *([order_by] if order_by else []))
-    unique = latest_per_key(kept, key, order_by, own_shuffle=True).select(key, *columns)
-    return df.join(unique, key, "left")
+    unique = latest_per_key(kept, key, order_by).select(key, *columns, F.xxhash64(key).alias("_hash"))
+    hashed = df.withColumn("_hash", F.xxhash64(key))
+    return hashed.join(unique, [key, "_hash"], "left").select(*df.columns, *columns)
 
 
 def total_nights_of(weekend: Column, week: Column) -> Column:

@@ -31,22 +31,17 @@ def latest_per_key(
     df: DataFrame,
     key: str | Sequence[str] = KEY,
     order_by: str | Sequence[str] | None = None,
-    own_shuffle: bool = False,
 ) -> DataFrame:
     """One row per key: the greatest by `order_by`, then by the other columns, so ties are settled.
 
     The rank filter is pushed below the shuffle as a group limit: each task sends on at most one
     row of a key, so a hot key never gathers in one task.
-
-    With `own_shuffle` the rows are spread by a hash beside the key. A join on the key then
-    shuffles both sides plainly, and AQE can split a key that is hot on the other side.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [] if order_by is None else [order_by] if isinstance(order_by, str) else list(order_by)
     ties = [c for c in df.columns if c not in keys and c not in order]
     ranked = [F.col(c).desc_nulls_last() for c in order + ties] or [F.col(keys[0])]
-    spread = [F.xxhash64(*keys)] if own_shuffle else []
-    window = Window.partitionBy(*spread, *keys).orderBy(*ranked)
+    window = Window.partitionBy(*keys).orderBy(*ranked)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
