@@ -89,7 +89,14 @@ def flatten_rows(
     # An inner explode would put a filter on the parsed records below the parser, and parse thrice.
     exploded = parsed.select("*", F.posexplode_outer("records").alias("pos", "record")).filter("pos IS NOT NULL")
     answered = exploded.withColumn("raw", F.get("predictions", F.col("pos")))
-    labelled = answered.withColumn("label", F.coalesce(F.get_json_object("raw", "$.label"), "raw"))
+    # A plain label is no JSON: asking it for a field would cost a caught exception per row.
+    is_object = F.col("raw").startswith("{")
+    labelled = answered.withColumns(
+        {
+            "label": F.when(is_object, F.get_json_object("raw", "$.label")).otherwise(F.col("raw")),
+            "proba_text": F.when(is_object, F.get_json_object("raw", "$.probability")),
+        }
+    )
     return labelled.select(
         "timestamp",
         "timestamp_ms",
@@ -98,7 +105,7 @@ def flatten_rows(
         "execution_duration_ms",
         *[_feature(c, form).alias(c) for c in FEATURES],
         encode_label("label", CANCEL_FLAG).cast("double").alias("prediction"),
-        F.get_json_object("raw", "$.probability").try_cast("double").alias("probability"),
+        F.col("proba_text").try_cast("double").alias("probability"),
         F.lit(model_name).alias("model_name"),
     )
 

@@ -62,9 +62,10 @@ def exact_quantiles(
 def _sorted_pick(df: DataFrame, searches: dict[tuple[str, float], Search]) -> dict:
     """Results of searches among few rows each, by a running count over their distinct values."""
     keys = list(searches)
+    names = [str(i) for i in range(len(keys))]
     ranks = F.array(*[F.lit(searches[k].rank) for k in keys])
-    values = F.array(*[searches[k].inside().cast("double") for k in keys])
-    hits = df.select(F.posexplode(values).alias("i", "v")).filter("v IS NOT NULL")
+    wide = df.select(*[searches[k].inside().cast("double").alias(i) for i, k in zip(names, keys, strict=True)])
+    hits = wide.unpivot([], names, "i", "v").filter("v IS NOT NULL").withColumn("i", F.col("i").cast("int"))
     counts = hits.groupBy("i", "v").agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
     reached = counts.withColumn("below", running).filter(F.col("below") >= F.get(ranks, F.col("i")))
@@ -72,45 +73,56 @@ def _sorted_pick(df: DataFrame, searches: dict[tuple[str, float], Search]) -> di
     return {keys[r["i"]]: r["v"] for r in rows}
 
 
-def _narrow(df: DataFrame, open_: dict, found: dict, accuracy: int) -> None:
-    # Searches over the same rows share a sketch.
+def _narrow(df: DataFrame, searches: dict, found: dict, accuracy: int) -> None:
+    """Replace each search by its result or by one over the rows between two values."""
+    # Searches over the same rows share a sketch and a tally.
     ranges: dict[tuple, list] = {}
-    for key, s in open_.items():
+    for key, s in searches.items():
         ranges.setdefault((s.column, s.low, s.high), []).append(key)
-    keys, sketches = [], []
-    for group in ranges.values():
+    groups = list(ranges.values())
+
+    sketches = []
+    for keys in groups:
         around = []
-        for key in group:
-            s = open_[key]
+        for s in (searches[k] for k in keys):
             margin = 2 / accuracy + 1 / s.rows
             around += [max(0.0, s.rank / s.rows - margin), min(1.0, s.rank / s.rows + margin)]
-        keys += group
-        sketches.append(F.percentile_approx(open_[group[0]].inside(), around, accuracy))
-    edges = [e for sketch in df.agg(*sketches).first() for e in sketch]
-    bounds = list(zip(edges[::2], edges[1::2], strict=True))
-    tallies = []
-    for i, key in enumerate(keys):
-        v, (low, high) = open_[key].inside(), bounds[i]
-        tallies += [
-            F.count(F.when(v < F.lit(low), 1)).alias(f"below{i}"),
-            F.count(F.when(v == F.lit(low), 1)).alias(f"low{i}"),
-            F.count(F.when((v > F.lit(low)) & (v < F.lit(high)), 1)).alias(f"mid{i}"),
-            F.count(F.when(v == F.lit(high), 1)).alias(f"high{i}"),
-        ]
-    tally = df.agg(*tallies).first()
-    for i, key in enumerate(keys):
-        s, (low, high) = open_[key], bounds[i]
-        below, at_low, mid, at_high = (tally[f"{n}{i}"] for n in ("below", "low", "mid", "high"))
-        if s.rank <= below:
-            open_[key] = Search(s.column, s.rank, below, s.low, low)
-        elif s.rank <= below + at_low:
-            found[key] = low
-            del open_[key]
-        elif s.rank <= below + at_low + mid:
-            open_[key] = Search(s.column, s.rank - below - at_low, mid, low, high)
-        elif s.rank <= below + at_low + mid + at_high:
-            found[key] = high
-            del open_[key]
-        else:
-            passed = below + at_low + mid + (at_high if high > low else 0)
-            open_[key] = Search(s.column, s.rank - passed, s.rows - passed, high, s.high)
+        sketches.append(F.percentile_approx(searches[keys[0]].inside(), around, accuracy))
+    edges = df.agg(*sketches).first()
+    cuts = [sorted(set(e)) for e in edges]
+    tallies = _tally(df, [searches[keys[0]].inside() for keys in groups], cuts)
+
+    for keys, around, cut, tally in zip(groups, edges, cuts, tallies, strict=True):
+        for key, low, high in zip(keys, around[::2], around[1::2], strict=True):
+            s = searches.pop(key)
+            a, b = 2 * cut.index(low) + 1, 2 * cut.index(high) + 1
+            below, at_low = sum(tally[:a]), tally[a]
+            mid, at_high = sum(tally[a + 1 : b]), tally[b] if b > a else 0
+            rank = s.rank - below
+            if rank <= 0:
+                searches[key] = Search(s.column, s.rank, below, s.low, low)
+            elif rank <= at_low:
+                found[key] = low
+            elif rank <= at_low + mid:
+                searches[key] = Search(s.column, rank - at_low, mid, low, high)
+            elif rank <= at_low + mid + at_high:
+                found[key] = high
+            else:
+                passed = at_low + mid + at_high
+                searches[key] = Search(s.column, rank - passed, s.rows - below - passed, high, s.high)
+
+
+def _tally(df: DataFrame, values: list[Column], cuts: list[list]) -> list[list[int]]:
+    """Rows per place of each value among its cuts: place 2j+1 is at cut j, 2j just before it."""
+
+    def place(v: Column, cut: list) -> Column:
+        steps = [F.when(v > F.lit(e), 2).when(v == F.lit(e), 1).otherwise(0) for e in cut]
+        return F.when(v.isNotNull(), sum(steps[1:], steps[0]))
+
+    names = [str(i) for i in range(len(values))]
+    wide = df.select(*[place(v, cut).alias(i) for i, v, cut in zip(names, values, cuts, strict=True)])
+    hits = wide.unpivot([], names, "i", "place").filter("place IS NOT NULL")
+    out = [[0] * (2 * len(cut) + 1) for cut in cuts]
+    for row in hits.groupBy("i", "place").agg(F.count("*").alias("n")).collect():
+        out[int(row["i"])][row["place"]] = row["n"]
+    return out
