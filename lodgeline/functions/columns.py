@@ -26,24 +26,43 @@ def ntz(text: str) -> Column:
     return F.expr(f"timestamp_ntz'{text}'")
 
 
-def as_ntz(ts: Column) -> Column:
-    return ts.cast("timestamp_ntz")
+def bucket(ts: str | Column, unit: str = "hour") -> Column:
+    """Start of the hour or day as a timestamp without time zone.
 
+    It is found on the wall clock, so that no zone's clock change moves it.
+    """
+    wall = col(ts).cast("timestamp_ntz")
+    day = F.to_date(wall).cast("timestamp_ntz")
+    if unit == "day":
+        return day
+    if unit == "hour":
+        return day + F.make_dt_interval(hours=F.hour(wall))
+    raise ValueError(f"unknown unit {unit!r}, expected 'hour' or 'day'")
+
+
+EPOCH = "1970-01-01 00:00:00"
 
-def bucket(ts: str | Column, unit: str = "hour") -> Column:
-    """Start of the hour, day, ... as a timestamp without time zone."""
-    return as_ntz(F.date_trunc(unit, col(ts)))
+
+def _since_epoch(ts: str | Column) -> Column:
+    return (col(ts) - ntz(EPOCH)).cast("interval second")
 
 
 def utc_instant(ts: str | Column) -> Column:
     """Instant of a zoneless timestamp that was taken in UTC, whatever the session's zone."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), col(ts)).cast("timestamp")
+    return F.timestamp_seconds(_since_epoch(ts).cast("decimal(18,6)"))
+
+
+def utc_wall(instant: str | Column) -> Column:
+    """Zoneless timestamp of an instant in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(col(instant)).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)")
+    return ntz(EPOCH) + F.make_dt_interval(secs=seconds)
 
 
 def epoch_ms(df: DataFrame, ts: str) -> Column:
     """Epoch milliseconds with the sub-second part cut off."""
-    instant = utc_instant(ts) if isinstance(df.schema[ts].dataType, T.TimestampNTZType) else F.col(ts)
-    return F.unix_seconds(instant) * 1000
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return _since_epoch(ts).cast("bigint") * 1000
+    return F.unix_seconds(ts) * 1000
 
 
 def iso_text(ts: str | Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeline.functions.columns import epoch_ms
+from lodgeline.functions.columns import epoch_ms, utc_wall
 from lodgeline.operators.cleaning import cast_align
 from lodgeline.schemas import KEY
 
@@ -140,7 +140,7 @@ def generate(
         span = F.col(f"_hi_{c}") - F.col(f"_lo_{c}")
         instant = F.timestamp_millis(F.col(f"_lo_{c}") + F.floor(uniform(seed, c) * span))
         if isinstance(df.schema[c].dataType, T.TimestampNTZType):
-            instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+            instant = utc_wall(instant)
         columns[c] = instant
     made = rows.withColumns(columns).select(KEY, *[f.name for f in fields])
     made = cast_align(made)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lodgeline.files import exists, is_file
-from lodgeline.functions.columns import utc_instant
+from lodgeline.functions.columns import utc_instant, utc_wall
 from lodgeline.operators.monitoring import profile_columns, profile_rates
 from lodgeline.operators.payload import flatten_rows
 from lodgeline.operators.tables import latest_per_key
@@ -84,8 +84,7 @@ def profile_stream(
     """Window counts of a stream. The watermark lets finished windows leave the state."""
     timed = log.withColumn(ts, utc_instant(ts)).withWatermark(ts, late)
     counts = timed.groupBy(F.window(ts, width).alias("w"), by).agg(*profile_columns())
-    start = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("w.start").cast("timestamp_ntz"))
-    return counts.select(start.alias("window_start"), by, "n", "positives", "nulls")
+    return counts.select(utc_wall("w.start").alias("window_start"), by, "n", "positives", "nulls")
 
 
 def run_profile(counts: DataFrame, path: str, checkpoint: str, by: str = "model_name") -> DataFrame:

@@ -156,6 +156,24 @@ def test_epoch_and_iso_do_not_depend_on_the_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_hours_and_instants_survive_clock_changes(spark):
+    gap, twice = "2024-03-10 02:30:00.25", "2024-11-03 01:30:00"
+    df = spark.createDataFrame([(gap,), (twice,), ("2024-11-03 05:30:00",), ("2024-11-03 06:30:00",)], "s string")
+    df = df.select(F.col("s").cast("timestamp_ntz").alias("t"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        hours = [str(r[0]) for r in rows(df.select(fn.bucket("t").alias("h")))]
+        assert hours == [f"2024-{d}:00:00" for d in ("03-10 02", "11-03 01", "11-03 05", "11-03 06")]
+        assert {str(r[0]) for r in rows(df.select(fn.bucket("t", "day")))} == {"2024-03-10 00:00:00", "2024-11-03 00:00:00"}
+        back = df.select((fn.utc_wall(fn.utc_instant("t")) == F.col("t")).alias("same"), fn.epoch_ms(df, "t").alias("e"))
+        assert {r["same"] for r in back.collect()} == {True} and back.select("e").distinct().count() == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    with pytest.raises(ValueError, match="unit"):
+        fn.bucket("t", "minute")
+
+
 def test_value_frequencies_add_up(sample):
     out = cleaning.value_frequencies(sample, ["booking_status", "type_of_meal_plan"])
     totals = out.groupBy("feature").agg(F.sum("share").alias("s")).collect()
