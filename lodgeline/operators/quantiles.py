@@ -33,54 +33,68 @@ class Search:
         return F.when(keep, c)
 
 
+FEW_VALUES = 10_000  # a column with at most about this many distinct values is counted value by value
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], accuracy: int = 10_000, small: int = 100_000
 ) -> dict[str, list]:
     """Per column and share, the least value with at least that share of the values at or below it.
 
-    A mergeable sketch brackets each quantile between two values, and exact counts tell whether it
-    is one of them or lies between. Then only the rows between are looked at, some ten-thousandth,
-    until they are few enough to be sorted. A round is two aggregations for all columns together;
-    what reaches the driver are the brackets.
+    Columns with few distinct values are counted value by value. For the others a mergeable
+    sketch brackets each quantile between two values, and exact counts tell whether it is one of
+    them or lies between. Then only the rows between are looked at, some ten-thousandth, until
+    they are few enough to be counted value by value. A round is two aggregations for all columns
+    together; what reaches the driver are the brackets.
     """
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    rows = [F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]
+    kinds = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+    sizes = df.agg(*rows, *kinds).first()
     found: dict[tuple[str, float], object] = {(c, p): None for c in columns for p in shares}
-    searches = {
-        (c, p): Search(c, max(1, ceil(round(p * counts[c], 6))), counts[c])
-        for c, p in found
-        if counts[c]
-    }
+    searches, countable = {}, {}
+    for i, c in enumerate(columns):
+        n = sizes[f"n{i}"]
+        for p in shares if n else ():
+            few = n <= small or sizes[f"d{i}"] <= min(FEW_VALUES, small)
+            (countable if few else searches)[c, p] = Search(c, max(1, ceil(round(p * n, 6))), n)
     while searches:
-        few = {k: s for k, s in searches.items() if s.rows <= small}
-        if len(few) == len(searches):
-            found.update(_sorted_pick(df, few))
-            break
         _narrow(df, searches, found, accuracy)
+        for key in [k for k, s in searches.items() if s.rows <= small]:
+            countable[key] = searches.pop(key)
+    if countable:
+        found.update(_count_values(df, countable))
     return {c: [found[c, p] for p in shares] for c in columns}
 
 
-def _sorted_pick(df: DataFrame, searches: dict[tuple[str, float], Search]) -> dict:
-    """Results of searches among few rows each, by a running count over their distinct values."""
-    keys = list(searches)
-    names = [str(i) for i in range(len(keys))]
-    ranks = F.array(*[F.lit(searches[k].rank) for k in keys])
-    wide = df.select(*[searches[k].inside().cast("double").alias(i) for i, k in zip(names, keys, strict=True)])
-    hits = wide.unpivot([], names, "i", "v").filter("v IS NOT NULL").withColumn("i", F.col("i").cast("int"))
-    counts = hits.groupBy("i", "v").agg(F.count("*").alias("n"))
-    running = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
-    reached = counts.withColumn("below", running).filter(F.col("below") >= F.get(ranks, F.col("i")))
-    rows = reached.groupBy("i").agg(F.min("v").alias("v")).collect()
-    return {keys[r["i"]]: r["v"] for r in rows}
-
-
-def _narrow(df: DataFrame, searches: dict, found: dict, accuracy: int) -> None:
-    """Replace each search by its result or by one over the rows between two values."""
-    # Searches over the same rows share a sketch and a tally.
+def _by_range(searches: dict) -> list[list[tuple]]:
+    """Keys of the searches that are over the same rows, together."""
     ranges: dict[tuple, list] = {}
     for key, s in searches.items():
         ranges.setdefault((s.column, s.low, s.high), []).append(key)
-    groups = list(ranges.values())
+    return list(ranges.values())
+
+
+def _count_values(df: DataFrame, searches: dict[tuple[str, float], Search]) -> dict:
+    """Results of searches among few distinct values each, by a running count over the values."""
+    groups = _by_range(searches)
+    names = [str(i) for i in range(len(groups))]
+    ranks = F.array(*[F.array(*[F.lit(searches[k].rank) for k in keys]) for keys in groups])
+    wide = df.select(*[searches[k[0]].inside().cast("double").alias(i) for i, k in zip(names, groups, strict=True)])
+    hits = wide.unpivot([], names, "i", "v").filter("v IS NOT NULL").groupBy("i", "v").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+    running = hits.withColumn("upto", upto).withColumn("i", F.col("i").cast("int"))
+    reached = F.filter(F.get(ranks, F.col("i")), lambda r: (r > F.col("upto") - F.col("n")) & (r <= F.col("upto")))
+    out = {}
+    for row in running.select("i", "v", F.explode(reached).alias("rank")).collect():
+        for key in groups[row["i"]]:
+            if searches[key].rank == row["rank"]:
+                out[key] = row["v"]
+    return out
+
 
+def _narrow(df: DataFrame, searches: dict, found: dict, accuracy: int) -> None:
+    """Replace each search by its result or by one over the rows between two values."""
+    groups = _by_range(searches)  # they share a sketch and a tally
     sketches = []
     for keys in groups:
         around = []
