@@ -41,9 +41,10 @@ def by_axis(df: DataFrame, axis: str) -> DataFrame:
 
 def all_axes(df: DataFrame) -> DataFrame:
     """Bookings per value of every axis, from one scan."""
-    text = with_bins(df).select(KEY, *[F.col(a).cast("string").alias(a) for a in AXES])
-    long = text.unpivot([KEY], list(AXES), "axis", "axis_value")
-    return long.groupBy("axis", "axis_value").agg(F.count(KEY).alias("bookings"))
+    known = F.when(F.col(KEY).isNotNull(), 1).otherwise(0).alias("known")
+    text = with_bins(df).select(known, *[F.col(a).cast("string").alias(a) for a in AXES])
+    long = text.unpivot(["known"], list(AXES), "axis", "axis_value")
+    return long.groupBy("axis", "axis_value").agg(F.sum("known").alias("bookings"))
 
 
 def status_share(df: DataFrame) -> DataFrame:
@@ -90,14 +91,14 @@ def lead_time_share(df: DataFrame) -> DataFrame:
 # Pivots and matrices
 
 
-def distinct_per(df: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
-    """Distinct bookings per group. Copies of a booking collapse before the shuffle."""
-    return df.groupBy(*by).agg(F.count_distinct(KEY).alias("bookings"), *extra)
+def distinct_bookings() -> Column:
+    """Distinct bookings; rows without an id count as one. Copies collapse before the shuffle."""
+    return F.count_distinct(KEY) + F.coalesce(F.max(F.col(KEY).isNull().cast("int")), F.lit(0))
 
 
 def pivot_counts(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
     """Distinct bookings per row value, one column per given value."""
-    counts = distinct_per(df.filter(F.col(column).isin(list(values))), [row, column])
+    counts = df.groupBy(row, column).agg(distinct_bookings().alias("bookings"))
     return counts.groupBy(row).pivot(column, list(values)).agg(F.first("bookings")).na.fill(0, list(values))
 
 
@@ -114,7 +115,7 @@ def matrix(df: DataFrame, outer: str, inner: str, proba: str) -> DataFrame:
     return (
         df.rollup(outer, inner)
         .agg(
-            F.count_distinct(KEY).alias("bookings"),
+            distinct_bookings().alias("bookings"),
             F.avg(proba).alias("avg_proba"),
             (F.lit(2) - hidden).cast("int").alias("level"),
         )
@@ -169,7 +170,7 @@ def decompose(df: DataFrame, path: Sequence[str]) -> DataFrame:
     hidden = sum((F.grouping(c).cast("int") for c in path), F.lit(0))
     return (
         df.rollup(*path)
-        .agg(F.count_distinct(KEY).alias("bookings"), (F.lit(len(path)) - hidden).cast("int").alias("level"))
+        .agg(distinct_bookings().alias("bookings"), (F.lit(len(path)) - hidden).cast("int").alias("level"))
         .select("level", *path, "bookings")
     )
 

@@ -16,8 +16,11 @@ KEY_BUCKET = "key_bucket"
 
 
 def read_bookings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Bookings from CSV with a header. The schema is given, so there is no inference pass."""
-    return spark.read.schema(BOOKING).option("header", True).csv(path)
+    """Bookings from CSV with a header. The schema is given, so there is no inference pass.
+
+    A header whose names differ from the schema is an error.
+    """
+    return spark.read.schema(BOOKING).option("header", True).option("enforceSchema", False).csv(path)
 
 
 def is_path(name: str) -> bool:

@@ -108,6 +108,8 @@ def test_pivot_shows_zero_for_absent_cells(spark):
     )
     got = rows(ops.confusion_matrix(df))
     assert got == [("Canceled", 1, 0), ("Not_Canceled", 1, 0)]
+    unscored = spark.createDataFrame([(None, "Canceled", "Canceled"), ("a", "Not_Canceled", None)], df.schema)
+    assert rows(ops.confusion_matrix(unscored)) == [("Canceled", 1, 0), ("Not_Canceled", 0, 0)]
 
 
 def test_matrix_has_subtotals_of_distinct_bookings(spark):

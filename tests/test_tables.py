@@ -139,9 +139,13 @@ def test_save_sets_by_job_type(spark, path):
 
 
 def test_csv_is_read_with_the_given_schema(spark, path):
-    spark.range(1).selectExpr("'BK1' AS Booking_ID", "2 AS no_of_adults").write.option("header", True).csv(path)
-    wide = storage.read_bookings_csv(spark, path)
-    assert wide.schema == BOOKING
+    row = tables.ensure_columns(spark.range(1).toDF("lead_time"), {f.name: "string" for f in BOOKING})
+    row.select(*BOOKING.names).write.option("header", True).csv(path)
+    assert storage.read_bookings_csv(spark, path).schema == BOOKING
+    assert storage.read_bookings_csv(spark, path).first()["lead_time"] == 0
+    row.select(*reversed(BOOKING.names)).write.option("header", True).csv(path + "2")
+    with pytest.raises(Exception, match="CSV header"):
+        storage.read_bookings_csv(spark, path + "2").collect()
 
 
 def test_table_names_check_the_environment():
