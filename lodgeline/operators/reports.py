@@ -226,12 +226,15 @@ def price_proba_scatter(
 def booking_details(
     df: DataFrame, custom: str = "booking_status_pred_custom", proba: str = "proba_other"
 ) -> DataFrame:
-    """One line per booking and its categories with summed counts, likeliest cancellation first."""
+    """One line per booking and its categories with summed counts, likeliest cancellation first.
+
+    The booking settles ties, so that rows of one probability need not be sorted by one task.
+    """
     sums = [c for c in NUM_FEATURES if c not in ("arrival_month", "arrival_year", "avg_price_per_room")]
     return (
         df.groupBy(KEY, custom, "market_segment_type", "room_type_reserved", "type_of_meal_plan")
         .agg(F.avg(proba).alias("proba"), *[F.sum(c).alias(c) for c in sums])
-        .orderBy(F.col("proba").desc_nulls_last())
+        .orderBy(F.col("proba").desc_nulls_last(), KEY)
     )
 
 
