@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,32 +53,33 @@ def split_exact(df: DataFrame, test_rows: int, key: str = KEY) -> tuple[DataFram
 # Encoding and fit
 
 
-def encoder(roles: Roles = Roles()) -> list:
-    """One-hot of every categorical level, unseen levels as all zeros, then the raw numbers."""
-    cats = list(roles.cat_features)
-    indexed, hot = [f"_{c}_index" for c in cats], [f"_{c}_hot" for c in cats]
-    return [
-        StringIndexer(inputCols=cats, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-        VectorAssembler(inputCols=[*hot, *roles.num_features], outputCol="_features", handleInvalid="skip"),
+def levels_of(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, list[str]]]:
+    """Number of rows and the sorted non-null levels of each column, from one pass."""
+    sets = [F.array_sort(F.collect_set(c)).alias(f"s{i}") for i, c in enumerate(columns)]
+    row = df.agg(F.count("*").alias("n"), *sets).first()
+    return row["n"], {c: row[f"s{i}"] for i, c in enumerate(columns)}
+
+
+def encoder(columns: Sequence[str], levels: Mapping[str, list[str]]) -> list:
+    """One-hot of every level of the columns; a level not listed, or none, gives all zeros."""
+    indexers = [
+        StringIndexerModel.from_labels(levels[c], inputCol=c, outputCol=f"_{c}_index", handleInvalid="keep")
+        for c in columns
     ]
+    indexed, hot = [f"_{c}_index" for c in columns], [f"_{c}_hot" for c in columns]
+    return [*indexers, OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True)]
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every level of the columns as a 0/1 column `<column>=<level>`, levels found by the indexer."""
-    indexed, hot = [f"_{c}_index" for c in columns], [f"_{c}_hot" for c in columns]
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
-    ).fit(df)
-    encoded = OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True)
-    stage = indexer.transform(df)
-    out = encoded.fit(stage).transform(stage)
+    """Every level of the columns as a 0/1 column `<column>=<level>`."""
+    _, levels = levels_of(df, columns)
+    encoded = Pipeline(stages=encoder(columns, levels)).fit(df).transform(df)
     cells = [
-        vector_to_array(h)[i].cast("int").alias(f"{c}={level}")
-        for c, h, levels in zip(columns, hot, indexer.labelsArray, strict=True)
-        for i, level in enumerate(levels)
+        vector_to_array(f"_{c}_hot")[i].cast("int").alias(f"{c}={level}")
+        for c in columns
+        for i, level in enumerate(levels[c])
     ]
-    return out.select(*df.columns, *cells)
+    return encoded.select(*df.columns, *cells)
 
 
 def fit_lr(
@@ -86,12 +87,17 @@ def fit_lr(
 ) -> PipelineModel:
     """Logistic regression with an L2 penalty of strength 1/c on the summed loss.
 
-    Spark averages the loss, so the penalty is divided by the number of rows. Rows are read once
-    per iteration; the caller may cache `train` when it fits in executor memory.
+    Features are the one-hot levels, then the raw numbers. Spark averages the loss, so the penalty
+    is divided by the number of rows. One pass finds rows and levels, one the column summaries;
+    the solver then keeps its blocks of rows in executor memory or on executor disk.
     """
     rows = train.filter(F.col(roles.target).isNotNull())
-    n = rows.count()
-    target = StringIndexer(inputCol=roles.target, outputCol="_label", stringOrderType="alphabetAsc")
+    cats = list(roles.cat_features)
+    n, levels = levels_of(rows, [roles.target, *cats])
+    target = StringIndexerModel.from_labels(levels[roles.target], inputCol=roles.target, outputCol="_label")
+    vector = VectorAssembler(
+        inputCols=[*[f"_{c}_hot" for c in cats], *roles.num_features], outputCol="_features", handleInvalid="skip"
+    )
     lr = LogisticRegression(
         featuresCol="_features",
         labelCol="_label",
@@ -104,14 +110,14 @@ def fit_lr(
         predictionCol="_prediction",
         rawPredictionCol="_raw",
     )
-    return Pipeline(stages=[target, *encoder(roles), lr]).fit(rows)
+    return Pipeline(stages=[target, *encoder(cats, levels), vector, lr]).fit(rows)
 
 
 def coefficients(model: PipelineModel, roles: Roles = Roles()) -> list[tuple[str, float]]:
     """Feature names and coefficients in vector order, the intercept last."""
     names = []
-    for c, levels in zip(roles.cat_features, model.stages[1].labelsArray, strict=True):
-        names += [f"{c}={level}" for level in levels]
+    for c, indexer in zip(roles.cat_features, model.stages[1:]):
+        names += [f"{c}={level}" for level in indexer.labels]
     lr = model.stages[-1]
     values = [float(v) for v in lr.coefficients]
     return [*zip([*names, *roles.num_features], values, strict=True), ("intercept", float(lr.intercept))]

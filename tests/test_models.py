@@ -82,6 +82,8 @@ def test_one_hot_keeps_every_level(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,)], "c string")
     assert ops.one_hot(df, ["c"]).columns == ["c", "c=a", "c=b"]
     assert rows(ops.one_hot(df, ["c"])) == [("a", 1, 0), ("b", 0, 1), (None, 0, 0)]
+    two = df.withColumn("d", F.lit("z"))
+    assert ops.one_hot(two, ["c", "d"]).columns == ["c", "d", "c=a", "c=b", "d=z"]
 
 
 def test_linear_score_at_the_threshold_and_with_nulls(spark):
