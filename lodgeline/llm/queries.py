@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeline.llm import bpe, packing, sharding, tokens
+from lodgeline.llm import bpe, minhash, packing, quality, sharding, tokens
 from lodgeline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, folder, "documents"), shards=40)
 
 
+@query("op4_minhash_stars")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op5_piece_lengths")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.word_lengths(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -44,6 +49,14 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_adaptive_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"))
+
+
+ORACLES["op9_adaptive_quality"] = quality.SQL
+
+
 @query("op10_best_fit")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
