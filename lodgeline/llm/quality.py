@@ -19,7 +19,7 @@ BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
 #: Least distance of a fence from the median.
-SLACK = {"symbol_share": 0.1, "dup_line_share": 0.3, "repeat_share": 0.25, "word_length": 3.0}
+SLACK = {"symbol_share": 0.1, "dup_line_share": 0.4, "repeat_share": 0.35, "word_length": 3.0}
 
 #: Measures with a fence below the median as well as above.
 TWO_SIDED = ("word_length",)
