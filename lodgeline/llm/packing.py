@@ -108,33 +108,52 @@ def _load(tokenizer: str):
 
 
 class ChunkEncoder:
-    """Ids of texts by the tokenizers library, which is asked once for each different chunk between blanks.
+    """Ids of texts by the tokenizers library, which is asked once for each different word.
 
     No token of a tokenizer that drops white space reaches across a blank or a line feed, so a text's ids are those of
-    its chunks, one after another.
+    its chunks between them. A sign after a letter is a token's limit as well, and ASCII is lowered alike everywhere,
+    so chunks that differ in capitals or in a sign at the end share the ids of one word.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 400_000):
+    SIGNS = frozenset(".,;:!?")
+
+    def __init__(self, tokenizer: str, limit: int = 600_000):
         self.tokenizer, self.limit = _load(tokenizer), limit
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, chunk: str) -> tuple[str, str]:
+        """What to ask for, and the sign at the end."""
+        if chunk[-1:] in self.SIGNS and chunk[-2:-1].isalpha():
+            chunk, sign = chunk[:-1], chunk[-1]
+        else:
+            sign = ""
+        return (chunk.lower() if chunk.isascii() else chunk), sign
+
+    def _learn(self, new: set[str]) -> None:
+        parts = {chunk: self._word(chunk) for chunk in new}
+        todo = list({p for pair in parts.values() for p in pair}.difference(self.words))
+        if len(self.words) + len(todo) > self.limit:
+            self.words = {}
+            todo = list({p for pair in parts.values() for p in pair})
+        for k in range(0, len(todo), 20_000):
+            part = todo[k : k + 20_000]
+            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.words[word] = np.array(e.ids, "<u4").tobytes()
+        for chunk, (word, sign) in parts.items():
+            self.known[chunk] = self.words[word] + self.words[sign]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        new: set[str] = set()
-        for text in texts:
-            new.update(set(text.replace("\n", " ").split(" ")).difference(self.known))
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        new = set().union(*split)
         if len(self.known) + len(new) > self.limit:
-            new.update(*(text.replace("\n", " ").split(" ") for text in texts))
-            self.known = {"": b""}
-        todo = list(new)
-        for k in range(0, len(todo), 50_000):
-            part = todo[k : k + 50_000]
-            for chunk, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(e.ids, "<u4").tobytes()
+            self.known = {}
+        self._learn(new.difference(self.known))
         known = self.known
-        for text in texts:
-            yield b"".join([known[c] for c in text.replace("\n", " ").split(" ")])
+        for chunks in split:
+            yield b"".join([known[c] for c in chunks])
 
 
 #: Encoders of this worker process, by tokenizer.
