@@ -187,3 +187,23 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = 5, cent
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
     )
+
+
+def survivors(documents: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
+    """The kept documents with their own columns; of rows that share the kept doc_id, the one with the least hash.
+
+    Only the ids that go are joined with the texts, so Spark may send them to the texts where they are few.
+    """
+    verdicts = near_duplicates(documents, percent, size)
+    gone = staged(verdicts.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    twice = staged(
+        documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice")),
+        "repeated-ids",
+    )
+    left = documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    if twice.isEmpty():
+        return left
+    once = left.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti")
+    rank = F.expr("row_number() OVER (PARTITION BY doc_id ORDER BY xxhash64(text))")
+    again = left.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi").withColumn("_rank", rank)
+    return once.union(again.where("_rank = 1").drop("_rank"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeline.llm import bpe, minhash, packing, quality, sharding, tokens
+from lodgeline.llm import bpe, embeddings, extraction, language, minhash, packing, quality, scoring, sharding, tokens
 from lodgeline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,16 @@ def query(name: str) -> Callable:
     return add
 
 
+@query("op1_suffix_tree")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.suffix_tree_scores(table(spark, folder, "documents"))
+
+
+@query("op2_main_text")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.main_text(table(spark, folder, "pages"))
+
+
 @query("op3_hilbert_shards")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, folder, "documents"), shards=40)
@@ -38,6 +48,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.word_lengths(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op6_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 @query("op7_bpe_pair_index")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -49,6 +64,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_itq_vectors")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op9_adaptive_quality")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"))
