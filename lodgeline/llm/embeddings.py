@@ -76,7 +76,8 @@ def learn_codes(sample: np.ndarray, n: int, cosine: float, miss: float, most: in
     """Codes for `n` vectors of which `sample` are some.
 
     A substring has about log2(n) - 3 bits, so that buckets stay small as n grows; fewer, if more than `most` tables
-    were needed to leave at most `miss` of the pairs at the least cosine apart.
+    were needed to leave at most `miss` of the pairs at the least cosine apart. If no bit serves, all vectors share one
+    bucket, which compares every pair of blocks.
     """
     rng = np.random.default_rng(seed)
     units = unit(sample)
@@ -94,17 +95,19 @@ def learn_codes(sample: np.ndarray, n: int, cosine: float, miss: float, most: in
             rotations.append(axes @ iterative_quantisation(centred @ axes, 30, rng))
         return np.concatenate(rotations[:count], axis=1)
 
-    size = max(1, min(width, 30, max(6, round(math.log2(max(n, 2))) - 3)))
-    while True:
+    size = min(width, 30, max(6, round(math.log2(max(n, 2))) - 3))
+    need = per = 1
+    while size:
         per = width // size
         tables = [np.arange(k * size, (k + 1) * size) for k in range(per)]
         code = Codes(mean, rotated(1), tables)
         together = (code.substrings(units) == code.substrings(moved)).mean()
-        need = math.ceil(math.log(miss) / math.log1p(-min(max(together, 1e-9), 1 - 1e-9)))
-        if need <= most or size <= 1:
+        need = max(1, math.ceil(math.log(miss) / math.log1p(-min(max(together, 1e-9), 1 - 1e-9))))
+        if need <= most:
             break
         size -= 1
-    need = max(need, 1)
+    if not size:
+        return Codes(mean, rotated(1), [np.arange(0)])
     count = -(-need // per)
     tables = [np.arange(k * size, (k + 1) * size) + r * width for r in range(count) for k in range(per)][:need]
     return Codes(mean, rotated(count), tables)
