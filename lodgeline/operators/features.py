@@ -55,13 +55,19 @@ def feature_lookup(
     return hashed.join(unique, [key, "_hash"], "left").select(*df.columns, *columns)
 
 
-def total_nights_of(weekend: Column, week: Column) -> Column:
-    return (weekend + week).cast("int")
+def total_nights_of(no_of_weekend_nights: Column, no_of_week_nights: Column) -> Column:
+    return (no_of_weekend_nights + no_of_week_nights).cast("int")
 
 
 def apply_function(df: DataFrame, function, output: str, bindings: Mapping[str, str]) -> DataFrame:
-    """Add a column computed by a function whose parameters are bound to columns."""
-    return df.withColumn(output, function(*[F.col(c) for c in bindings.values()]))
+    """Add a column computed by a function whose parameters are bound to columns by name.
+
+    `function` is a Python function of columns, or the name of an SQL function.
+    """
+    if isinstance(function, str):
+        arguments = ", ".join(f"{p} => `{c}`" for p, c in bindings.items())
+        return df.withColumn(output, F.expr(f"{function}({arguments})"))
+    return df.withColumn(output, function(**{p: F.col(c) for p, c in bindings.items()}))
 
 
 def register_total_nights(spark, name: str = "calculate_total_nights") -> str:

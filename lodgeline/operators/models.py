@@ -24,6 +24,8 @@ THRESHOLD = 0.5
 LATEST_ALIAS = "latest-model"
 READY = "READY"
 
+MAX_LEVELS = 10_000  # levels of a column that may reach the driver
+
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -53,8 +55,15 @@ def split_exact(df: DataFrame, test_rows: int, key: str = KEY) -> tuple[DataFram
 # Encoding and fit
 
 
-def levels_of(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, list[str]]]:
-    """Number of rows and the sorted non-null levels of each column, from one pass."""
+def levels_of(df: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS) -> tuple[int, dict[str, list[str]]]:
+    """Number of rows and the sorted non-null levels of each column.
+
+    The levels of a column reach the driver, so they are counted first: more than about `most` are an error.
+    """
+    about = df.agg(*[F.approx_count_distinct(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
+    many = [c for i, c in enumerate(columns) if about[f"s{i}"] > most]
+    if many:
+        raise ValueError(f"more than {most} levels in {', '.join(many)}")
     sets = [F.array_sort(F.collect_set(c)).alias(f"s{i}") for i, c in enumerate(columns)]
     row = df.agg(F.count("*").alias("n"), *sets).first()
     return row["n"], {c: row[f"s{i}"] for i, c in enumerate(columns)}
@@ -87,16 +96,18 @@ def fit_lr(
 ) -> PipelineModel:
     """Logistic regression with an L2 penalty of strength 1/c on the summed loss.
 
-    Features are the one-hot levels, then the raw numbers. Spark averages the loss, so the penalty
-    is divided by the number of rows. One pass finds rows and levels, one the column summaries;
-    the solver then keeps its blocks of rows in executor memory or on executor disk.
+    Features are the one-hot levels, then the raw numbers; rows without target or with a missing number are not fitted.
+    Spark averages the loss, so the penalty is divided by the number of rows fitted. The target must have two levels.
+    The solver keeps its blocks of rows in executor memory or on executor disk.
     """
-    rows = train.filter(F.col(roles.target).isNotNull())
+    rows = train.filter(F.col(roles.target).isNotNull() & _complete(roles.num_features))
     cats = list(roles.cat_features)
     n, levels = levels_of(rows, [roles.target, *cats])
+    if len(levels[roles.target]) != 2:
+        raise ValueError(f"{roles.target} has {len(levels[roles.target])} levels in the rows to fit, expected 2")
     target = StringIndexerModel.from_labels(levels[roles.target], inputCol=roles.target, outputCol="_label")
     vector = VectorAssembler(
-        inputCols=[*[f"_{c}_hot" for c in cats], *roles.num_features], outputCol="_features", handleInvalid="skip"
+        inputCols=[*[f"_{c}_hot" for c in cats], *roles.num_features], outputCol="_features", handleInvalid="keep"
     )
     lr = LogisticRegression(
         featuresCol="_features",
@@ -137,14 +148,24 @@ def _answers(probability: Column, prefix: str = "") -> dict[str, Column]:
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Rows with prediction, label and probability. Rows with a missing number are left out."""
+    """All rows with prediction, label and probability, which are null where a number is missing."""
     scorer = PipelineModel(stages=model.stages[1:])
     out = scorer.transform(df)
-    return out.withColumns(_answers(vector_to_array("_probability")[1])).select(
+    probability = vector_to_array("_probability")[1]
+    known = F.when(~F.isnan(probability), probability)
+    return out.withColumns(_answers(known)).select(
         *df.columns, "prediction", "label", "probability"
     )
 
 
+def _complete(columns: Sequence[str]) -> Column:
+    """Whether all these numbers are there."""
+    there = F.lit(True)
+    for c in columns:
+        there = there & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return there
+
+
 def linear(coefficients: Mapping[str, float], intercept: float) -> Column:
     z = F.lit(float(intercept))
     for c, w in coefficients.items():
@@ -180,10 +201,10 @@ def score_map_in_pandas(df: DataFrame, coefficients: Mapping[str, float], interc
 def score_incremental(
     table: DataFrame, scorer: Scorer, prediction: str, proba: str, key: str = KEY
 ) -> DataFrame:
-    """Table in which rows without a prediction got one; rows the scorer leaves out stay unscored.
+    """Table in which rows without a prediction got one; as many rows come back as went in.
 
-    Scored and unscored rows are told apart by a pushed filter. A scorer that keeps all rows, as
-    `score_linear` does, needs no join to put them back.
+    Scored and unscored rows are told apart by a pushed filter. The scorer must keep all its rows, with nulls where it
+    has no answer, as `score` and `score_linear` do; so no join is needed to put them back.
     """
     todo = table.filter(F.col(prediction).isNull()).drop(prediction, proba)
     scored = scorer(todo)
@@ -200,15 +221,16 @@ def weighted_metrics_of(counts: DataFrame, label: str, prediction: str, n: str =
     A class that is never predicted has precision 0, and F1 0. The frame has a row per pair of
     classes, so what follows the first grouping is tiny.
     """
-    hit = F.when(F.col(label) == F.col(prediction), F.col(n)).otherwise(0)
-    zero = F.lit(0)
-    actual = counts.filter(F.col(label).isNotNull()).select(
-        F.col(label).alias("class"), hit.alias("tp"), F.col(n).alias("support"), zero.alias("predicted")
-    )
-    guessed = counts.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull()).select(
-        F.col(prediction).alias("class"), zero.alias("tp"), zero.alias("support"), F.col(n).alias("predicted")
+    hit = F.when(F.col(label) == F.col(prediction), F.col(n)).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    known = F.col(label).isNotNull()
+    # Each grouped row counts for its class and for the class that was predicted; the frame is read once.
+    sides = F.array(
+        F.struct(F.col(label).alias("class"), hit.alias("tp"), F.col(n).alias("support"), zero.alias("predicted")),
+        F.struct(F.col(prediction).alias("class"), zero.alias("tp"), zero.alias("support"), F.col(n).alias("predicted")),
     )
-    per_class = actual.unionAll(guessed).groupBy("class").agg(
+    both = counts.filter(known).select(F.explode(sides).alias("s")).select("s.*").filter(F.col("class").isNotNull())
+    per_class = both.groupBy("class").agg(
         F.sum("tp").alias("tp"), F.sum("support").alias("support"), F.sum("predicted").alias("predicted")
     )
     precision = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
@@ -230,7 +252,8 @@ def weighted_metrics(df: DataFrame, label: str = TARGET, prediction: str = "labe
 def champion_gate(df: DataFrame, label: str, challenger: str, champion: str | None) -> DataFrame:
     """Both F1 scores over the same rows, and whether the challenger is at least as good.
 
-    Without a champion the challenger passes. Both models' outcomes are counted in one pass.
+    Without a champion the challenger passes. Both models' outcomes are counted together, and all else is done on the
+    counts.
     """
     models = [challenger, *([champion] if champion else [])]
     counts = df.groupBy(label, *models).agg(F.count("*").alias("n"))

@@ -1,7 +1,7 @@
 """Health, drift, quality, value and fairness over the inference log.
 
-Every operator scans the log once (data quality twice: outliers need the statistics first) and
-groups it to a frame of the size of its result before anything else is done with it.
+Every operator groups the log to a frame of the size of its result before anything else is done with it. Most scan it
+once; data quality needs two scans, since outliers need the statistics first.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def _flag(condition: Column) -> Column:
 def system_health(log: DataFrame, ts: str = "timestamp", unit: str = "hour") -> DataFrame:
     """Calls, failed calls, mean latency and error rate in percent per hour."""
     latency = F.avg("execution_duration_ms") if "execution_duration_ms" in log.columns else F.lit(None).cast("double")
-    hourly = log.groupBy(bucket(ts, unit).alias("heure")).agg(
+    hourly = log.groupBy(bucket(ts, unit).alias("hour_start")).agg(
         F.count("*").alias("total_calls"),
         F.sum(_flag(F.col("prediction").isNull())).alias("errors"),
         latency.alias("avg_latency_ms"),
@@ -45,21 +45,21 @@ def health_latest(log: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Health of the last hour that has calls."""
     return (
         system_health(log, ts)
-        .orderBy(F.col("heure").desc())
+        .orderBy(F.col("hour_start").desc())
         .limit(1)
-        .select("heure", (100 - F.col("error_rate")).alias("success_rate"), "errors", "avg_latency_ms")
+        .select("hour_start", (100 - F.col("error_rate")).alias("success_rate"), "errors", "avg_latency_ms")
     )
 
 
 def call_volume(log: DataFrame, ts: str = "timestamp") -> DataFrame:
-    return log.groupBy(bucket(ts).alias("heure")).agg(F.count("*").alias("nombre_appels"))
+    return log.groupBy(bucket(ts).alias("hour_start")).agg(F.count("*").alias("calls"))
 
 
 def call_totals(log: DataFrame, ts: str = "timestamp") -> DataFrame:
     """All calls, and those of the last hour that has any."""
     return call_volume(log, ts).agg(
-        F.coalesce(F.sum("nombre_appels"), F.lit(0)).alias("total_calls"),
-        F.max_by("nombre_appels", "heure").alias("last_hour_calls"),
+        F.coalesce(F.sum("calls"), F.lit(0)).alias("total_calls"),
+        F.max_by("calls", "hour_start").alias("last_hour_calls"),
     )
 
 
@@ -73,10 +73,10 @@ def drift_numeric(log: DataFrame, features: Sequence[str] = DEFAULT_NUMERIC, ts:
     for f in features:
         x = F.col(f).cast("double")
         moments += [F.struct(F.count(f).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var")).alias(f)]
-    hourly = log.groupBy(bucket(ts).alias("heure")).agg(*moments)
+    hourly = log.groupBy(bucket(ts).alias("hour_start")).agg(*moments)
     # A map of feature to moments turns the wide hourly row into one row per feature.
     pairs = F.create_map(*[part for f in features for part in (F.lit(f), F.col(f))])
-    long = hourly.select("heure", F.explode(pairs).alias("feature", "m")).filter("m.n > 0")
+    long = hourly.select("hour_start", F.explode(pairs).alias("feature", "m")).filter("m.n > 0")
     by_feature = Window.partitionBy("feature")
     n, mean = F.col("m.n"), F.col("m.mean")
     merged = long.select(
@@ -87,7 +87,7 @@ def drift_numeric(log: DataFrame, features: Sequence[str] = DEFAULT_NUMERIC, ts:
     squares = F.sum(n * F.col("m.var") + n * (mean - F.col("all_mean")) * (mean - F.col("all_mean"))).over(by_feature)
     spread = F.when(F.col("all_n") > 1, F.sqrt(squares / (F.col("all_n") - 1)))
     return merged.withColumn("all_std", spread).select(
-        "heure",
+        "hour_start",
         "feature",
         (F.abs(mean - F.col("all_mean")) / F.nullif(F.col("all_std"), F.lit(0.0))).alias("drift_score"),
     )
@@ -104,22 +104,22 @@ def drift_categorical(
     Only categories seen in the hour count; with `full` those absent from it count too. They add
     the overall share the seen ones leave over, so no grid of hours and categories is built.
     """
-    long = log.select(bucket(ts).alias("heure"), *[F.col(f).cast("string").alias(f) for f in features]).unpivot(
-        ["heure"], list(features), "feature", "category"
+    long = log.select(bucket(ts).alias("hour_start"), *[F.col(f).cast("string").alias(f) for f in features]).unpivot(
+        ["hour_start"], list(features), "feature", "category"
     )
-    counts = long.filter(F.col("category").isNotNull()).groupBy("heure", "feature", "category").agg(
+    counts = long.filter(F.col("category").isNotNull()).groupBy("hour_start", "feature", "category").agg(
         F.count("*").alias("n")
     )
     overall = counts.groupBy("feature", "category").agg(F.sum("n").alias("n_all"))
     overall = with_totals(overall, ["feature"], F.sum("n_all").alias("feature_n")).select(
         "feature", "category", (F.col("n_all") / F.col("feature_n")).alias("global_freq")
     )
-    hours = counts.groupBy("heure", "feature").agg(F.sum("n").alias("hour_n"))
-    joined = null_safe_join(null_safe_join(counts, overall, ["feature", "category"]), hours, ["heure", "feature"])
+    hours = counts.groupBy("hour_start", "feature").agg(F.sum("n").alias("hour_n"))
+    joined = null_safe_join(null_safe_join(counts, overall, ["feature", "category"]), hours, ["hour_start", "feature"])
     gap = F.sum(F.abs(F.col("n") / F.col("hour_n") - F.col("global_freq")))
     if full:
         gap = gap + F.greatest(1 - F.sum("global_freq"), F.lit(0.0))
-    return joined.groupBy("heure", "feature").agg(gap.alias("drift_score"))
+    return joined.groupBy("hour_start", "feature").agg(gap.alias("drift_score"))
 
 
 def drift_summary(drift: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def business_value(
     ts: str = "timestamp",
 ) -> DataFrame:
     """Calls, predicted outcomes, cost and estimated value per day."""
-    daily = log.groupBy(bucket(ts, "day").alias("jour")).agg(
+    daily = log.groupBy(bucket(ts, "day").alias("day_start")).agg(
         F.count("*").alias("total_calls"),
         F.sum(_flag(F.col("prediction") == 1)).alias("canceled_pred"),
         F.sum(_flag(F.col("prediction") == 0)).alias("kept_pred"),

@@ -311,9 +311,7 @@ def feature_training_set(t: Tables) -> DataFrame:
 def udf_total_nights(t: Tables) -> DataFrame:
     name = features.register_total_nights(t.spark)
     bindings = {c: c for c in ("no_of_weekend_nights", "no_of_week_nights")}
-    called = features.apply_function(
-        t.bookings, lambda *cols: F.call_function(name, *cols), features.TOTAL_NIGHTS, bindings
-    )
+    called = features.apply_function(t.bookings, name, features.TOTAL_NIGHTS, bindings)
     return called.select(KEY, "total_nights")
 
 

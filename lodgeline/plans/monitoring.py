@@ -17,11 +17,12 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-HEALTH = """SELECT date_trunc('hour', timestamp) AS heure, count(*) AS total_calls,
- CAST(sum(CASE WHEN prediction IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+HOUR = "time_bucket(INTERVAL 1 HOUR, timestamp) AS hour_start"
+
+HEALTH = f"""SELECT {HOUR}, count(*) AS total_calls, count(*) - count(prediction) AS errors,
  round(avg(execution_duration_ms), 6) AS avg_latency_ms,
- round(sum(CASE WHEN prediction IS NULL THEN 1 ELSE 0 END) / count(*) * 100, 6) AS error_rate
-FROM inference_log GROUP BY 1"""
+ round(100.0::DOUBLE * (count(*) - count(prediction)) / count(*), 6) AS error_rate
+FROM inference_log GROUP BY hour_start"""
 
 
 @query("system_health", HEALTH)
@@ -31,14 +32,14 @@ def system_health(t: Tables) -> DataFrame:
 
 @query(
     "health_latest",
-    f"""SELECT heure, round(100 - error_rate, 6) AS success_rate, errors, avg_latency_ms
-FROM ({HEALTH}) h ORDER BY heure DESC LIMIT 1""",
+    f"""WITH h AS ({HEALTH}) SELECT hour_start, round(100 - error_rate, 6) AS success_rate, errors, avg_latency_ms
+FROM h WHERE hour_start = (SELECT max(hour_start) FROM h)""",
 )
 def health_latest(t: Tables) -> DataFrame:
     return rounded(ops.health_latest(t.log), "success_rate", "avg_latency_ms")
 
 
-CALLS = "SELECT date_trunc('hour', timestamp) AS heure, count(*) AS nombre_appels FROM inference_log GROUP BY 1"
+CALLS = f"SELECT {HOUR}, count(*) AS calls FROM inference_log GROUP BY hour_start"
 
 
 @query("call_volume", CALLS)
@@ -48,43 +49,47 @@ def call_volume(t: Tables) -> DataFrame:
 
 @query(
     "call_totals",
-    f"""WITH c AS ({CALLS}) SELECT CAST(sum(nombre_appels) AS BIGINT) AS total_calls,
- (SELECT nombre_appels FROM c ORDER BY heure DESC LIMIT 1) AS last_hour_calls FROM c""",
+    f"""WITH c AS ({CALLS}) SELECT CAST(sum(calls) AS BIGINT) AS total_calls, max_by(calls, hour_start) AS last_hour_calls FROM c""",
 )
 def call_totals(t: Tables) -> DataFrame:
     return ops.call_totals(t.log)
 
 
-DRIFT_NUMERIC = " UNION ALL ".join(
-    f"""SELECT date_trunc('hour', timestamp) AS heure, '{f}' AS feature,
- abs(avg({f}) - (SELECT avg({f}) FROM inference_log))
- / nullif((SELECT stddev_samp({f}) FROM inference_log), 0) AS drift_score
-FROM inference_log WHERE {f} IS NOT NULL GROUP BY 1"""
-    for f in NUMERIC
-)
+def unpivoted(features, value: str, kind: str, nulls: str = "") -> str:
+    """The log with a row for each call and feature."""
+    columns = ", ".join(f"CAST({f} AS {kind}) AS {f}" for f in features)
+    named = f"{value} FOR feature IN ({', '.join(features)})"
+    return f"SELECT hour_start, feature, {value} FROM (SELECT {HOUR}, {columns} FROM inference_log) UNPIVOT {nulls} ({named})"
+
 
+# The deviation of all values follows from counts, sums and sums of squares per hour.
+DRIFT_NUMERIC = f"""WITH value_rows AS ({unpivoted(NUMERIC, "x", "DOUBLE")}),
+per_hour AS (SELECT hour_start, feature, count(*) AS n, sum(x) AS total, sum(x * x) AS squares
+ FROM value_rows GROUP BY ALL),
+whole AS (SELECT feature, sum(n) AS n, sum(total) / sum(n) AS mean,
+  sqrt(greatest(sum(squares) - sum(total) * sum(total) / sum(n), 0) / nullif(sum(n) - 1, 0)) AS spread
+ FROM per_hour GROUP BY feature)
+SELECT hour_start, feature, abs(total / per_hour.n - mean) / nullif(spread, 0) AS drift_score
+FROM per_hour JOIN whole USING (feature)"""
 
-@query("drift_numeric", f"SELECT heure, feature, round(drift_score, 6) AS drift_score FROM ({DRIFT_NUMERIC}) d")
+
+@query("drift_numeric", f"SELECT hour_start, feature, round(drift_score, 6) AS drift_score FROM ({DRIFT_NUMERIC}) d")
 def drift_numeric(t: Tables) -> DataFrame:
     return rounded(ops.drift_numeric(t.log), "drift_score")
 
 
 def drift_categorical_sql(full: bool) -> str:
-    base = " UNION ALL ".join(
-        f"SELECT date_trunc('hour', timestamp) AS heure, '{f}' AS feature, {f} AS category FROM inference_log"
-        for f in CATEGORICAL
-    )
-    shares = f"""WITH base AS (SELECT * FROM ({base}) b WHERE category IS NOT NULL),
-gd AS (SELECT feature, category, count(*) / sum(count(*)) OVER (PARTITION BY feature) AS gf FROM base GROUP BY 1, 2),
-hd AS (SELECT heure, feature, category, count(*) / sum(count(*)) OVER (PARTITION BY heure, feature) AS hf
- FROM base GROUP BY 1, 2, 3)"""
-    if not full:
-        return f"""{shares} SELECT h.heure, h.feature, round(sum(abs(hf - gf)), 6) AS drift_score
-FROM hd h JOIN gd g ON h.feature = g.feature AND h.category = g.category GROUP BY 1, 2"""
-    return f"""{shares}, hours AS (SELECT DISTINCT heure, feature FROM hd)
-SELECT o.heure, o.feature, round(sum(abs(coalesce(hf, 0) - gf)), 6) AS drift_score
-FROM hours o JOIN gd g ON o.feature = g.feature
-LEFT JOIN hd h ON h.heure = o.heure AND h.feature = g.feature AND h.category = g.category GROUP BY 1, 2"""
+    """Shares from joined totals. In full, the categories of the whole log are laid against every hour."""
+    cells = "category_total JOIN hour_total USING (feature) LEFT JOIN cell USING (hour_start, feature, category)"
+    seen = "" if full else "WHERE cell.n IS NOT NULL"
+    return f"""WITH value_rows AS ({unpivoted(CATEGORICAL, "category", "VARCHAR")}),
+cell AS (SELECT hour_start, feature, category, count(*) AS n FROM value_rows GROUP BY ALL),
+hour_total AS (SELECT hour_start, feature, sum(n) AS n FROM cell GROUP BY ALL),
+category_total AS (SELECT feature, category, sum(n) AS n FROM cell GROUP BY ALL),
+feature_total AS (SELECT feature, sum(n) AS n FROM cell GROUP BY ALL)
+SELECT hour_start, feature,
+ round(sum(abs(coalesce(cell.n, 0) / hour_total.n - category_total.n / feature_total.n)), 6) AS drift_score
+FROM {cells} JOIN feature_total USING (feature) {seen} GROUP BY hour_start, feature"""
 
 
 @query("drift_categorical", drift_categorical_sql(False))
@@ -106,14 +111,12 @@ def drift_summary(t: Tables) -> DataFrame:
     return rounded(ops.drift_summary(ops.drift_numeric(t.log)), "mean_drift", "max_drift")
 
 
-QUALITY = " UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, count(*) AS total_rows,
- CAST(sum(CASE WHEN {f} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_count,
- avg(CASE WHEN {f} IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS missing_rate,
- avg(CASE WHEN {f} IS NOT NULL AND ({f} < m - 3 * s OR {f} > m + 3 * s) THEN 1.0 ELSE 0.0 END) * 100 AS outlier_rate
-FROM inference_log, (SELECT avg({f}) AS m, stddev_samp({f}) AS s FROM inference_log) st"""
-    for f in NUMERIC
-)
+QUALITY = f"""WITH value_rows AS ({unpivoted(NUMERIC, "x", "DOUBLE", "INCLUDE NULLS")}),
+spread AS (SELECT feature, avg(x) AS m, stddev_samp(x) AS s FROM value_rows GROUP BY feature)
+SELECT feature, count(*) AS total_rows, count(*) - count(x) AS missing_count,
+ 100.0::DOUBLE * (count(*) - count(x)) / count(*) AS missing_rate,
+ 100.0::DOUBLE * count(*) FILTER (abs(x - m) > 3 * s) / count(*) AS outlier_rate
+FROM value_rows JOIN spread USING (feature) GROUP BY feature"""
 
 
 @query(
@@ -125,18 +128,16 @@ def data_quality(t: Tables) -> DataFrame:
     return rounded(ops.data_quality(t.log), "missing_rate", "outlier_rate")
 
 
-BUSINESS = """SELECT jour, total_calls, canceled_pred, kept_pred, total_calls * CAST(0.02 AS DOUBLE) AS infra_cost,
- kept_pred * CAST(120 AS DOUBLE) - canceled_pred * CAST(30 AS DOUBLE) - total_calls * CAST(0.02 AS DOUBLE)
-  AS estimated_value
-FROM (SELECT date_trunc('day', timestamp) AS jour, count(*) AS total_calls,
-  CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS canceled_pred,
-  CAST(sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS kept_pred
- FROM inference_log GROUP BY 1) d"""
+BUSINESS = """SELECT *, total_calls * 0.02::DOUBLE AS infra_cost,
+ 120.0::DOUBLE * kept_pred - 30.0::DOUBLE * canceled_pred - 0.02::DOUBLE * total_calls AS estimated_value
+FROM (SELECT time_bucket(INTERVAL 1 DAY, timestamp) AS day_start, count(*) AS total_calls,
+  count(*) FILTER (prediction = 1) AS canceled_pred, count(*) FILTER (prediction = 0) AS kept_pred
+ FROM inference_log GROUP BY day_start) d"""
 
 
 @query(
     "business_value",
-    f"""SELECT CAST(jour AS TIMESTAMP) AS jour, total_calls, canceled_pred, kept_pred,
+    f"""SELECT CAST(day_start AS TIMESTAMP) AS day_start, total_calls, canceled_pred, kept_pred,
  round(infra_cost, 6) AS infra_cost, round(estimated_value, 6) AS estimated_value FROM ({BUSINESS}) b""",
 )
 def business_value(t: Tables) -> DataFrame:
@@ -154,11 +155,12 @@ def business_totals(t: Tables) -> DataFrame:
     return rounded(totals, "total_cost", "total_value", "avg_value_per_call")
 
 
-FAIRNESS = """SELECT category, total, positive_preds, round(positive_preds / total, 4) AS positive_rate,
- round(positive_preds / total - avg(positive_preds / total) OVER (), 4) AS bias_gap
-FROM (SELECT market_segment_type AS category, count(*) AS total,
-  CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positive_preds
- FROM inference_log WHERE market_segment_type IS NOT NULL GROUP BY 1) s"""
+FAIRNESS = """WITH g AS (SELECT market_segment_type AS category, count(*) AS total,
+  count(*) FILTER (prediction = 1) AS positive_preds
+ FROM inference_log GROUP BY category HAVING category IS NOT NULL),
+typical AS (SELECT avg(positive_preds / total) AS rate FROM g)
+SELECT category, total, positive_preds, round(positive_preds / total, 4) AS positive_rate,
+ round(positive_preds / total - rate, 4) AS bias_gap FROM g JOIN typical ON TRUE"""
 
 
 @query("fairness", FAIRNESS)
@@ -180,12 +182,11 @@ def alerts(t: Tables) -> DataFrame:
     return rounded(ops.alerts(t.log), "value")
 
 
-PROFILE = """SELECT window_start, model_name, n, positives, nulls,
- round(CASE WHEN n > nulls THEN positives / (n - nulls) END, 6) AS positive_rate, round(nulls / n, 6) AS null_rate
-FROM (SELECT time_bucket(INTERVAL 30 MINUTE, timestamp) AS window_start, model_name, count(*) AS n,
-  CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS positives,
-  CAST(sum(CASE WHEN prediction IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nulls
- FROM inference_log GROUP BY 1, 2) p"""
+PROFILE = """SELECT time_bucket(INTERVAL 30 MINUTE, timestamp) AS window_start, model_name, count(*) AS n,
+ count(*) FILTER (prediction = 1) AS positives, count(*) - count(prediction) AS nulls,
+ round(count(*) FILTER (prediction = 1) / nullif(count(prediction), 0), 6) AS positive_rate,
+ round((count(*) - count(prediction)) / count(*), 6) AS null_rate
+FROM inference_log GROUP BY window_start, model_name"""
 
 
 @query("profile_30min", PROFILE)

@@ -29,12 +29,12 @@ def log(spark):
 
 
 def test_health_per_hour(log):
-    got = {str(r["heure"]): r for r in ops.system_health(log).collect()}
+    got = {str(r["hour_start"]): r for r in ops.system_health(log).collect()}
     first = got["2024-01-01 00:00:00"]
     assert (first["total_calls"], first["errors"], first["avg_latency_ms"]) == (3, 1, 200.0)
     assert math.isclose(first["error_rate"], 100 / 3)
     latest = ops.health_latest(log).first()
-    assert (str(latest["heure"]), latest["success_rate"], latest["errors"]) == ("2024-01-02 03:00:00", 100.0, 0)
+    assert (str(latest["hour_start"]), latest["success_rate"], latest["errors"]) == ("2024-01-02 03:00:00", 100.0, 0)
 
 
 def test_health_without_latency_and_without_calls(log):
@@ -47,7 +47,7 @@ def test_health_without_latency_and_without_calls(log):
 def test_numeric_drift_equals_its_definition(log):
     values = [10, 20, 90, 30]
     mean, std = statistics.mean(values), statistics.stdev(values)
-    got = {str(r["heure"])[:13]: r["drift_score"] for r in ops.drift_numeric(log, ["lead_time"]).collect()}
+    got = {str(r["hour_start"])[:13]: r["drift_score"] for r in ops.drift_numeric(log, ["lead_time"]).collect()}
     want = {"2024-01-01 00": [10, 20], "2024-01-01 01": [90], "2024-01-02 03": [30]}
     assert got.keys() == want.keys()
     for hour, hourly in want.items():
@@ -59,7 +59,7 @@ def test_numeric_drift_of_large_close_values_is_stable(spark):
     df = df.select(F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), "h", F.lit(0), F.lit(0)).alias("timestamp"), "x")
     values = [1e9 + (h * 7 + i) % 3 for h in range(20) for i in range(50)]
     std = statistics.stdev(values)
-    got = ops.drift_numeric(df, ["x"]).orderBy("heure").first()["drift_score"]
+    got = ops.drift_numeric(df, ["x"]).orderBy("hour_start").first()["drift_score"]
     hour = statistics.mean(values[:50])
     assert math.isclose(got, abs(hour - statistics.mean(values)) / std, rel_tol=1e-6)
 
@@ -86,9 +86,9 @@ def brute_categorical(full: bool) -> dict[str, float]:
 def test_categorical_drift_equals_its_definition(log, full):
     got = ops.drift_categorical(log, ["market_segment_type"], full=full).collect()
     want = brute_categorical(full)
-    assert {str(r["heure"])[:13] for r in got} == want.keys()
+    assert {str(r["hour_start"])[:13] for r in got} == want.keys()
     for r in got:
-        assert math.isclose(r["drift_score"], want[str(r["heure"])[:13]], abs_tol=1e-12)
+        assert math.isclose(r["drift_score"], want[str(r["hour_start"])[:13]], abs_tol=1e-12)
 
 
 def test_quality_counts_nulls_in_the_denominator(spark):
@@ -103,7 +103,7 @@ def test_quality_counts_nulls_in_the_denominator(spark):
 
 def test_business_value_and_totals(log):
     daily = ops.business_value(log)
-    first = daily.orderBy("jour").first()
+    first = daily.orderBy("day_start").first()
     assert (first["canceled_pred"], first["kept_pred"]) == (1, 2)
     assert math.isclose(first["estimated_value"], 2 * 120 - 30 - 4 * 0.02)
     totals = ops.business_totals(daily).first()

@@ -207,6 +207,14 @@ def test_sql_function_matches_the_expression(spark):
     name = features.register_total_nights(spark)
     df = spark.createDataFrame([(1, 2), (None, 1)], "no_of_weekend_nights int, no_of_week_nights int")
     bindings = {c: c for c in df.columns}
-    called = features.apply_function(df, lambda *c: F.call_function(name, *c), "n", bindings)
+    called = features.apply_function(df, name, "n", bindings)
     built = features.apply_function(df, features.total_nights_of, "n", bindings)
     assert rows(called, "n") == rows(built, "n") == [(3,), (None,)]
+
+
+def test_parameters_are_bound_by_name(spark):
+    df = spark.createDataFrame([(7, 2)], "x int, y int")
+    out = features.apply_function(df, lambda a, b: a - b, "n", {"b": "y", "a": "x"})
+    assert rows(out, "n") == [(5,)]
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION minus_of(a INT, b INT) RETURNS INT RETURN a - b")
+    assert rows(features.apply_function(df, "minus_of", "n", {"b": "y", "a": "x"}), "n") == [(5,)]
