@@ -15,6 +15,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _status(spark, path) is not None
 
 
+def swap(spark: SparkSession, new: str, name: str) -> None:
+    """Put folder `new` in the place of folder `name`, by renaming.
+
+    The old folder stands beside it under `name`__old until the new one is in place, so a crash loses neither.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    target, old = path(name), path(f"{name.rstrip('/')}__old")
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(old, True)
+    for source, place in ((target, old), (path(new), target)):
+        if not system.rename(source, place):
+            raise OSError(f"cannot rename {source} to {place}")
+    system.delete(old, True)
+    spark.catalog.refreshByPath(name)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     status = _status(spark, path)
     return status is not None and status.isFile()

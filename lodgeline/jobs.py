@@ -18,6 +18,7 @@ from lodgeline.operators.cleaning import clean
 from lodgeline.operators.payload import flatten
 from lodgeline.operators.tables import ensure_columns, unseen, verdict
 from lodgeline.schemas import KEY, Roles
+from lodgeline.scratch import scratch_path
 from lodgeline.sources.storage import read_bookings_csv, read_table, row_count, save_sets, table_exists, write_table
 
 REGISTRY = "model_name string, version bigint, status string, alias string, path string, f1_score double"
@@ -36,17 +37,17 @@ class Written:
 def audited_write(df: DataFrame, name: str, mode: str, key: str = KEY) -> Written:
     """Write and audit.
 
-    Incoming rows follow from the counts around the write, which read file footers only. For an
-    upsert they do not and are counted by a job of their own: accumulators may count a task that
-    is run again twice.
+    The rows are staged in the shared folder first, so they are computed once, and all counts read file footers only.
+    Accumulators would not do: they may count a task that is run again twice.
     """
     spark = df.sparkSession
     before = row_count(spark, name)
-    incoming = df.count() if mode == "upsert" else None
-    write_table(df, name, mode, key)
+    staging = scratch_path(spark, "incoming")
+    df.write.parquet(staging)
+    incoming_rows = spark.read.schema(df.schema).parquet(staging)
+    incoming = incoming_rows.count()
+    write_table(incoming_rows, name, mode, key)
     after = row_count(spark, name)
-    if incoming is None:
-        incoming = after - before if mode == "append" else after
     word = spark.range(1).select(verdict(F.lit(before), F.lit(after), mode)).first()[0]
     return Written(before, incoming, after, word)
 
@@ -78,7 +79,7 @@ def refresh_monitoring(payload: DataFrame, name: str, model_name: str, keep_fail
 def score_table(
     spark: SparkSession, name: str, scorer: models.Scorer, prediction: str, proba: str, key: str = KEY
 ) -> Written:
-    """Score the table's unscored rows and put them back. Rows the scorer leaves out are retried next time."""
+    """Score the table's unscored rows and put them back. Rows without an answer are tried again next time."""
     table = ensure_columns(read_table(spark, name), {prediction: "string", proba: "double"})
     todo = table.filter(F.col(prediction).isNull()).drop(prediction, proba)
     scored = scorer(todo).withColumns({prediction: F.col("label"), proba: F.col("probability")})

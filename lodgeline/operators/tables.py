@@ -34,28 +34,51 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key: the greatest by `order_by`, then by the other columns, so ties are settled.
 
-    The rank filter is pushed below the shuffle as a group limit: each task sends on at most one
+    Columns that have no order of their own, such as maps, are compared as JSON. The rank filter is pushed below the shuffle as a group limit: each task sends on at most one
     row of a key, so a hot key never gathers in one task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = [] if order_by is None else [order_by] if isinstance(order_by, str) else list(order_by)
     ties = [c for c in df.columns if c not in keys and c not in order]
-    ranked = [F.col(c).desc_nulls_last() for c in order + ties] or [F.col(keys[0])]
+    ranked = [_orderable(df, c).desc_nulls_last() for c in order + ties] or [F.col(keys[0])]
     window = Window.partitionBy(*keys).orderBy(*ranked)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _orderable(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType.simpleString()
+    unordered = any(name in kind for name in ("map<", "variant"))
+    return F.to_json(F.struct(column)) if unordered else F.col(column)
+
+
+def one_per_key(source: DataFrame, key: str = KEY, order_by: str | None = None) -> DataFrame:
+    """The source rows of an upsert: the latest of each key.
+
+    Without an order a repeated key is an error when the rows are computed, and so is a null key in any case. Each
+    task sends on two rows of a key at most.
+    """
+    named = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null {key} in the source of an upsert"))).otherwise(True)
+    if order_by is not None:
+        return latest_per_key(source, key, order_by).filter(named)
+    window = Window.partitionBy(key).orderBy(F.lit(0))
+    ranked = source.withColumn("_rank", F.row_number().over(window)).filter("_rank <= 2")
+    message = F.concat(F.lit(f"repeated {key} without an order: "), F.col(key).cast("string"))
+    single = F.when(F.col("_rank") == 2, F.raise_error(message)).otherwise(True)
+    return ranked.filter(named).filter(single).drop("_rank")
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str = KEY, order_by: str | None = None) -> DataFrame:
     """Source rows replace target rows of the same key; other source rows are added.
 
-    Several source rows of one key count as one, the latest. The anti join sees the plain source
-    keys: small sources are broadcast by AQE, and a hot target key can be split.
+    Several source rows of one key count as one, the latest by `order_by` or the time of ingestion; see `one_per_key`
+    for sources without either. The anti join sees the plain source keys: small sources are broadcast by AQE, and a
+    hot target key can be split.
     """
     require(target, [key])
     require(source, [key])
     order_by = order_by or (INGESTED_AT if INGESTED_AT in source.columns else None)
     kept = target.join(source.select(key), key, "left_anti")
-    return union_by_name(kept, latest_per_key(source, key, order_by))
+    return union_by_name(kept, one_per_key(source, key, order_by))
 
 
 def change_feed(old: DataFrame, new: DataFrame, key: str = KEY, order_by: str | None = None) -> DataFrame:
@@ -130,4 +153,7 @@ def append_unseen(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -
 
 
 def unseen(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return incoming.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    """Incoming rows whose keys the target does not hold; nulls in keys are equal to each other."""
+    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
+    return incoming.join(held, same, "left_anti")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lodgeline.files import exists
+from lodgeline.files import exists, swap
 from lodgeline.operators.cleaning import require
-from lodgeline.operators.tables import ensure_columns, latest_per_key, stamp, upsert
+from lodgeline.operators.tables import ensure_columns, one_per_key, stamp, upsert
 from lodgeline.schemas import BOOKING, INGESTED_AT, KEY
 
 MODES = ("overwrite", "append", "upsert")
@@ -54,6 +54,7 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", key: str = KE
 
     With `buckets`, a path table is laid out in folders by key hash. An upsert then reads and
     rewrites only the folders its keys fall in; choose the count so that a folder is about 1 GB.
+    The count is stored with the table at its first write, and an append with another one is an error.
     """
     if mode not in MODES:
         raise ValueError(f"invalid write mode {mode!r}, expected one of {MODES}")
@@ -62,18 +63,27 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", key: str = KE
         require(df, [key])
         if table_exists(spark, name):
             return _upsert_table(df, name, key)
-        df, mode = latest_per_key(df, key, _order(df)), "overwrite"
+        df, mode = one_per_key(df, key, _order(df)), "overwrite"
+    appended = mode == "append" and table_exists(spark, name)
     if not is_path(name):
-        if mode == "append" and table_exists(spark, name):
-            df = _evolve(df, name)
-        df.write.mode(mode).saveAsTable(name)
-    elif buckets or (mode == "append" and bucket_count(spark, name)):
-        count = buckets or bucket_count(spark, name)
-        _with_bucket(df, key, count).write.mode(mode).partitionBy(KEY_BUCKET).parquet(name)
-        if mode == "overwrite":
-            _buckets_marker(spark, name, count)
-    else:
+        if appended:
+            _evolve(df, name).write.insertInto(name)
+        else:
+            df.write.mode(mode).saveAsTable(name)
+        return
+    if appended:
+        stored = bucket_count(spark, name)
+        if buckets not in (0, stored):
+            raise ValueError(f"{name} has {stored} key buckets, not {buckets}")
+        buckets = stored
+    if not buckets:
         df.write.mode(mode).parquet(name)
+        return
+    if mode == "append" and not appended:
+        _buckets_marker(spark, name, buckets)
+    _with_bucket(df, key, buckets).write.mode(mode).partitionBy(KEY_BUCKET).parquet(name)
+    if mode == "overwrite":
+        _buckets_marker(spark, name, buckets)
 
 
 def _order(df: DataFrame) -> str | None:
@@ -118,11 +128,17 @@ def _upsert_table(source: DataFrame, name: str, key: str) -> None:
         _upsert_buckets(source, name, key, buckets)
         return
     # A table cannot be overwritten while it is read: the merged rows land beside it first.
-    staging = f"{name.rstrip('/')}__staging" if is_path(name) else f"{name}__staging"
-    write_table(upsert(read_table(spark, name), source, key), staging, "overwrite")
-    write_table(read_table(spark, staging), name, "overwrite")
-    if not is_path(name):
-        spark.sql(f"DROP TABLE {staging}")
+    merged = upsert(read_table(spark, name), source, key)
+    if is_path(name):
+        staging = f"{name.rstrip('/')}__staging"
+        merged.write.mode("overwrite").parquet(staging)
+        swap(spark, staging, name)
+        return
+    staging = f"{name}__staging"
+    merged.write.mode("overwrite").saveAsTable(staging)
+    # Inserted into the table as it is, which keeps its partitions.
+    _evolve(spark.table(staging), name).write.insertInto(name, overwrite=True)
+    spark.sql(f"DROP TABLE {staging}")
 
 
 def _upsert_buckets(source: DataFrame, name: str, key: str, buckets: int) -> None:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -254,3 +255,20 @@ def test_columns_without_values_stay_null(spark):
 
 def test_roles_default_to_all_features():
     assert Roles().features == FEATURES and type_of("lead_time") == T.IntegerType()
+
+
+def test_rows_with_missing_numbers_are_scored_as_null(spark):
+    rows_in = [(str(k), "a" if k % 3 else "b", float(k % 7) if k % 4 else None, "yes" if k % 7 > 3 else "no") for k in range(200)]
+    df = spark.createDataFrame(rows_in, "k string, c string, x double, y string")
+    roles = replace(Roles(), key="k", target="y", cat_features=("c",), num_features=("x",))
+    model = ops.fit_lr(df, roles)
+    scored = ops.score(model, df).collect()
+    assert len(scored) == 200 and all((r["x"] is None) == (r["label"] is None) == (r["probability"] is None) for r in scored)
+    table = ops.score(model, df).drop("prediction", "label", "probability").withColumns(
+        {"pred": F.lit(None).cast("string"), "proba": F.lit(None).cast("double")}
+    )
+    assert ops.score_incremental(table, lambda d: ops.score(model, d), "pred", "proba", "k").count() == 200
+    with pytest.raises(ValueError, match="expected 2"):
+        ops.fit_lr(df.withColumn("y", F.col("k")), roles)
+    with pytest.raises(ValueError, match="more than 1 levels"):
+        ops.levels_of(df, ["c"], most=1)

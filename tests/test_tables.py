@@ -218,3 +218,55 @@ def test_parameters_are_bound_by_name(spark):
     assert rows(out, "n") == [(5,)]
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION minus_of(a INT, b INT) RETURNS INT RETURN a - b")
     assert rows(features.apply_function(df, "minus_of", "n", {"b": "y", "a": "x"}), "n") == [(5,)]
+
+
+def test_repeated_and_null_source_keys(spark):
+    target = spark.createDataFrame([("a", 1), (None, 5)], "k string, v int")
+    twice = spark.createDataFrame([("a", 2), ("a", 9)], "k string, v int")
+    with pytest.raises(Exception, match="repeated k"):
+        tables.upsert(target, twice, "k").collect()
+    assert rows(tables.upsert(target, twice, "k", "v")) == [("a", 9), (None, 5)]
+    for order in (None, "v"):
+        with pytest.raises(Exception, match="null k"):
+            tables.upsert(target, spark.createDataFrame([(None, 2)], "k string, v int"), "k", order).collect()
+
+
+def test_null_ids_are_seen_once(spark):
+    held = spark.createDataFrame([(None, 0), ("a", 0)], "id string, pos int")
+    assert rows(tables.unseen(held, held, ["id", "pos"])) == []
+
+
+def test_ties_of_map_columns(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"b": 2})], "k int, m map<string,int>")
+    assert tables.latest_per_key(df, "k").collect()[0]["m"] == {"b": 2}
+
+
+def test_bucketed_appends(spark, path):
+    df = spark.range(60).select(F.col("id").cast("string").alias("k"), "id")
+    storage.write_table(df.filter("id < 50"), path, "append", "k", buckets=4)
+    storage.write_table(df.filter("id >= 50"), path, "append", "k")
+    assert storage.read_table(spark, path).count() == 60
+    with pytest.raises(ValueError, match="4 key buckets"):
+        storage.write_table(df, path, "append", "k", buckets=8)
+    storage.write_table(df.withColumn("id", F.col("id") + 100), path, "upsert", "k")
+    assert storage.read_table(spark, path).agg(F.count("*"), F.min("id")).first()[:] == (60, 100)
+
+
+def test_partitioned_named_tables(spark):
+    spark.sql("DROP TABLE IF EXISTS parted")
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, p string")
+    df.write.partitionBy("p").saveAsTable("parted")
+    storage.write_table(spark.createDataFrame([("c", "x", 3)], "k string, p string, v int"), "parted", "append", "k")
+    storage.write_table(spark.createDataFrame([("a", 9, "x", 1)], "k string, v int, p string, n int"), "parted", "upsert", "k")
+    assert rows(spark.table("parted"), "k", "v", "p", "n") == [("a", 9, "x", 1), ("b", 2, "y", None), ("c", 3, "x", None)]
+    assert spark.catalog.listColumns("parted")[-1].isPartition
+    spark.sql("DROP TABLE parted")
+
+
+def test_an_upsert_leaves_no_other_folder(spark, path):
+    storage.write_table(spark.createDataFrame([("a", 1)], "k string, v int"), path, "overwrite", "k")
+    storage.write_table(spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int"), path, "upsert", "k")
+    assert rows(storage.read_table(spark, path)) == [("a", 2), ("b", 3)]
+    import pathlib
+
+    assert [p.name for p in pathlib.Path(path).parent.iterdir()] == ["table"]
