@@ -33,39 +33,45 @@ class Search:
         return F.when(keep, c)
 
 
-FEW_VALUES = 10_000  # a column with at most about this many distinct values is counted value by value
+COUNTABLE = 1_000  # rows between two values that are counted value by value
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], accuracy: int = 10_000, small: int = 100_000
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], accuracy: int = 10_000, countable: int = COUNTABLE
 ) -> dict[str, list]:
     """Per column and share, the least value with at least that share of the values at or below it.
 
-    Columns with few distinct values are counted value by value. For the others a mergeable
-    sketch brackets each quantile between two values, and exact counts tell whether it is one of
-    them or lies between. Then only the rows between are looked at, some ten-thousandth, until
-    they are few enough to be counted value by value. A round is two aggregations for all columns
-    together; what reaches the driver are the brackets.
+    A mergeable sketch brackets each quantile between two values, and exact counts tell whether it is one of them or
+    lies between. Then only the rows between are looked at, some ten-thousandth, until they are few enough to be
+    counted value by value. Tables of any size go this way. The first round takes the counts and the sketches in one
+    aggregation; a round is two aggregations for all columns together, and what reaches the driver are the brackets.
     """
-    rows = [F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]
-    kinds = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
-    sizes = df.agg(*rows, *kinds).first()
+    counts = [F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]
+    around = [[s for p in shares for s in _around(p, 3 / accuracy)] for _ in columns]
+    sketches = [F.percentile_approx(c, a, accuracy).alias(f"e{i}") for i, (c, a) in enumerate(zip(columns, around, strict=True))]
+    first = df.agg(*counts, *sketches).first()
     found: dict[tuple[str, float], object] = {(c, p): None for c in columns for p in shares}
-    searches, countable = {}, {}
+    searches: dict[tuple[str, float], Search] = {}
     for i, c in enumerate(columns):
-        n = sizes[f"n{i}"]
+        n = first[f"n{i}"]
         for p in shares if n else ():
-            few = n <= small or sizes[f"d{i}"] <= min(FEW_VALUES, small)
-            (countable if few else searches)[c, p] = Search(c, max(1, ceil(round(p * n, 6))), n)
+            searches[c, p] = Search(c, max(1, ceil(round(p * n, 6))), n)
+    edges = [first[f"e{i}"] for i in range(len(columns)) if first[f"n{i}"]]
+    between: dict[tuple[str, float], Search] = {}
     while searches:
-        _narrow(df, searches, found, accuracy)
-        for key in [k for k, s in searches.items() if s.rows <= small]:
-            countable[key] = searches.pop(key)
-    if countable:
-        found.update(_count_values(df, countable))
+        _narrow(df, searches, found, edges or _brackets(df, searches, accuracy))
+        edges = []
+        for key in [k for k, s in searches.items() if s.rows <= countable]:
+            between[key] = searches.pop(key)
+    if between:
+        found.update(_count_values(df, between))
     return {c: [found[c, p] for p in shares] for c in columns}
 
 
+def _around(share: float, margin: float) -> list[float]:
+    return [max(0.0, share - margin), min(1.0, share + margin)]
+
+
 def _by_range(searches: dict) -> list[list[tuple]]:
     """Keys of the searches that are over the same rows, together."""
     ranges: dict[tuple, list] = {}
@@ -92,17 +98,19 @@ def _count_values(df: DataFrame, searches: dict[tuple[str, float], Search]) -> d
     return out
 
 
-def _narrow(df: DataFrame, searches: dict, found: dict, accuracy: int) -> None:
+def _brackets(df: DataFrame, searches: dict, accuracy: int) -> list[list]:
+    """Two values around the result of each search; searches over the same rows share a sketch."""
+    sketches = []
+    for keys in _by_range(searches):
+        own = [searches[k] for k in keys]
+        around = [x for s in own for x in _around(s.rank / s.rows, 2 / accuracy + 1 / s.rows)]
+        sketches.append(F.percentile_approx(own[0].inside(), around, accuracy))
+    return list(df.agg(*sketches).first())
+
+
+def _narrow(df: DataFrame, searches: dict, found: dict, edges: list[list]) -> None:
     """Replace each search by its result or by one over the rows between two values."""
     groups = _by_range(searches)  # they share a sketch and a tally
-    sketches = []
-    for keys in groups:
-        around = []
-        for s in (searches[k] for k in keys):
-            margin = 2 / accuracy + 1 / s.rows
-            around += [max(0.0, s.rank / s.rows - margin), min(1.0, s.rank / s.rows + margin)]
-        sketches.append(F.percentile_approx(searches[keys[0]].inside(), around, accuracy))
-    edges = df.agg(*sketches).first()
     cuts = [sorted(set(e)) for e in edges]
     tallies = _tally(df, [searches[keys[0]].inside() for keys in groups], cuts)
 
