@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeline.functions.columns import bucket
-from lodgeline.operators.shares import null_safe_join, with_totals
+from lodgeline.operators.shares import with_totals
 
 # Defaults of the business parameters and the alert thresholds.
 COST_PER_CALL = 0.02
@@ -110,16 +110,18 @@ def drift_categorical(
     counts = long.filter(F.col("category").isNotNull()).groupBy("hour_start", "feature", "category").agg(
         F.count("*").alias("n")
     )
-    overall = counts.groupBy("feature", "category").agg(F.sum("n").alias("n_all"))
-    overall = with_totals(overall, ["feature"], F.sum("n_all").alias("feature_n")).select(
-        "feature", "category", (F.col("n_all") / F.col("feature_n")).alias("global_freq")
+    # Totals by windows over the grouped frame, so the log is read once.
+    total = lambda *by: F.sum("n").over(Window.partitionBy(*by))
+    shares = counts.select(
+        "hour_start",
+        "feature",
+        (F.col("n") / total("hour_start", "feature")).alias("share"),
+        (total("feature", "category") / total("feature")).alias("global_share"),
     )
-    hours = counts.groupBy("hour_start", "feature").agg(F.sum("n").alias("hour_n"))
-    joined = null_safe_join(null_safe_join(counts, overall, ["feature", "category"]), hours, ["hour_start", "feature"])
-    gap = F.sum(F.abs(F.col("n") / F.col("hour_n") - F.col("global_freq")))
+    gap = F.sum(F.abs(F.col("share") - F.col("global_share")))
     if full:
-        gap = gap + F.greatest(1 - F.sum("global_freq"), F.lit(0.0))
-    return joined.groupBy("hour_start", "feature").agg(gap.alias("drift_score"))
+        gap = gap + F.greatest(1 - F.sum("global_share"), F.lit(0.0))
+    return shares.groupBy("hour_start", "feature").agg(gap.alias("drift_score"))
 
 
 def drift_summary(drift: DataFrame) -> DataFrame:

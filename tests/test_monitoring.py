@@ -133,3 +133,12 @@ def test_log_is_scanned_once_for_all_drift_features(log, path):
     df = log.sparkSession.read.parquet(path)
     plan = ops.drift_numeric(df, ["lead_time", "execution_duration_ms"])._jdf.queryExecution().executedPlan()
     assert plan.toString().count("FileScan") == 1
+
+
+def test_categorical_drift_reads_the_log_once(spark, path):
+    df = spark.range(100).selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, id % 5) AS timestamp", "string(id % 3) AS a", "string(id % 7) AS b")
+    df.write.parquet(path)
+    drift = ops.drift_categorical(spark.read.parquet(path), ["a", "b"], full=True)
+    drift.collect()
+    plan = drift._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1
