@@ -339,3 +339,19 @@ def synth_drift(t: Tables) -> DataFrame:
 )
 def synth_schema_check(t: Tables) -> DataFrame:
     return check_generated(synthetic(t, False), t.bookings, [*CAT_FEATURES, TARGET])
+
+
+@query(
+    "synth_drift_check",
+    "SELECT TRUE AS prices_double, TRUE AS years_are_recent, CAST(count(*) AS BIGINT) AS n_rows FROM bookings",
+)
+def synth_drift_check(t: Tables) -> DataFrame:
+    """Under drift the mean price doubles and years lie in the last three."""
+    base = synthetic(t, False).agg(F.avg("avg_price_per_room").alias("price"))
+    drifted = synthetic(t, True).agg(
+        F.count("*").alias("n_rows"),
+        F.avg("avg_price_per_room").alias("doubled"),
+        F.bool_and(F.col("arrival_year").between(2022, 2024)).alias("years_are_recent"),
+    )
+    doubles = F.abs(F.col("doubled") / F.col("price") - 2) < 1e-6
+    return drifted.crossJoin(F.broadcast(base)).select(doubles.alias("prices_double"), "years_are_recent", "n_rows")

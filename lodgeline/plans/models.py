@@ -177,3 +177,69 @@ def schema_check(t: Tables) -> DataFrame:
 @query("sample_with_replacement")
 def sample_with_replacement(t: Tables) -> DataFrame:
     return ops.sample_n(t.bookings.select(*FEATURES), 100)
+
+
+# Properties of what SQL cannot compute
+
+
+@query(
+    "score_batch_check",
+    f"""SELECT count(*) AS n_rows, count(*) FILTER (arrival_date <> 31) AS n_answered, TRUE AS in_range, TRUE AS labels_agree
+FROM bookings WHERE {H} < '33333333'""",
+)
+def score_batch_check(t: Tables) -> DataFrame:
+    """Every test row comes back; those with a missing number without an answer."""
+    train, test = ops.split(t.bookings.select(KEY, "arrival_date", *[c for c in FEATURES if c != "arrival_date"], TARGET))
+    holes = test.withColumn("lead_time", F.when(F.col("arrival_date") != 31, F.col("lead_time")))
+    scored = ops.score(ops.fit_lr(train), holes)
+    return scored.agg(
+        F.count("*").alias("n_rows"),
+        F.count("label").alias("n_answered"),
+        F.bool_and(F.col("probability").between(0, 1)).alias("in_range"),
+        F.bool_and((F.col("probability") >= 0.5) == (F.col("label") == "Not_Canceled")).alias("labels_agree"),
+    )
+
+
+@query(
+    "train_lr_check",
+    f"""SELECT 1 + {sum(len(x) for x in LEVELS.values())} + 13 AS n_coefficients, count(*) AS n_rows, TRUE AS balanced
+FROM bookings WHERE {H} >= '33333333'""",
+)
+def train_lr_check(t: Tables) -> DataFrame:
+    """A free intercept is best only if the fitted mean is the observed one."""
+    train, _ = training_rows(t)
+    model = ops.fit_lr(train)
+    gap = F.avg("probability") - F.avg((F.col(TARGET) == "Not_Canceled").cast("double"))
+    return ops.score(model, train).agg(
+        F.lit(len(ops.coefficients(model))).alias("n_coefficients"),
+        F.count("*").alias("n_rows"),
+        (F.abs(gap) < 1e-3).alias("balanced"),
+    )
+
+
+@query(
+    "run_log_values",
+    f"""WITH m AS (SELECT 'run-1' AS run_id, * FROM {metrics_sql('booking_status_pred_basic')} a
+ UNION ALL SELECT 'run-2', * FROM {metrics_sql('booking_status_pred_custom')} b)
+SELECT run_id, name, CAST(round(value, 6) AS VARCHAR) AS value
+FROM (UNPIVOT m ON accuracy, "precision", recall, f1_score INTO NAME name VALUE value)
+UNION ALL SELECT r, p, v FROM (VALUES ('run-1'), ('run-2')) runs(r),
+ (VALUES ('C', '1.0'), ('max_iter', '1000'), ('solver', 'lbfgs')) params(p, v) WHERE (SELECT count(*) FROM predictions) > 0""",
+)
+def run_log_values(t: Tables) -> DataFrame:
+    """The run log, a row for each parameter and metric."""
+    log = run_log(t)
+    metrics = log.select("run_id", F.explode("metrics").alias("name", "value"))
+    params = log.select("run_id", F.explode("params").alias("name", "value"))
+    return metrics.withColumn("value", F.round("value", 6).cast("string")).unionByName(params)
+
+
+@query(
+    "sample_check",
+    "SELECT CAST(100 AS BIGINT) AS n_rows, TRUE AS from_source FROM (SELECT count(*) AS n FROM bookings) b WHERE n > 0",
+)
+def sample_check(t: Tables) -> DataFrame:
+    drawn = ops.sample_n(t.bookings.select(KEY), 100)
+    known = t.bookings.select(F.col(KEY).alias("known"))
+    joined = drawn.join(known, F.col(KEY) == F.col("known"), "left")
+    return joined.agg(F.count("*").alias("n_rows"), F.bool_and(F.col("known").isNotNull()).alias("from_source"))

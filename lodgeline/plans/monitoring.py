@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeline.operators import monitoring as ops
+from lodgeline.operators.cleaning import trailing
+
 from lodgeline.plans.registry import query
-from lodgeline.sources.fixtures import Tables
+from lodgeline.sources.fixtures import Tables, latest
 
 NUMERIC = ops.DEFAULT_NUMERIC
 CATEGORICAL = ("market_segment_type", "room_type_reserved")
@@ -192,3 +194,33 @@ FROM inference_log GROUP BY window_start, model_name"""
 @query("profile_30min", PROFILE)
 def profile_30min(t: Tables) -> DataFrame:
     return rounded(ops.profile(t.log), "positive_rate", "null_rate")
+
+
+# The default view: the last seven days
+
+
+def last_week(t: Tables) -> DataFrame:
+    return trailing(t.log, "timestamp", latest(t.events, "ts"))
+
+
+WEEK = "(SELECT * FROM inference_log WHERE timestamp >= CAST(CAST((SELECT max(timestamp) FROM inference_log) AS DATE) - 7 AS TIMESTAMP))"
+
+
+@query("health_last_week", HEALTH.replace("FROM inference_log", f"FROM {WEEK} w"))
+def health_last_week(t: Tables) -> DataFrame:
+    return rounded(ops.system_health(last_week(t)), "avg_latency_ms", "error_rate")
+
+
+@query("calls_last_week", CALLS.replace("FROM inference_log", f"FROM {WEEK} w"))
+def calls_last_week(t: Tables) -> DataFrame:
+    return ops.call_volume(last_week(t))
+
+
+@query(
+    "value_last_week",
+    f"""SELECT CAST(day_start AS TIMESTAMP) AS day_start, total_calls, canceled_pred, kept_pred,
+ round(infra_cost, 6) AS infra_cost, round(estimated_value, 6) AS estimated_value
+FROM ({BUSINESS.replace("FROM inference_log", f"FROM {WEEK} w")}) b""",
+)
+def value_last_week(t: Tables) -> DataFrame:
+    return rounded(ops.business_value(last_week(t)), "infra_cost", "estimated_value")
