@@ -106,21 +106,43 @@ def confusion_matrix(df: DataFrame, label: str = TARGET, prediction: str = "book
     return pivot_counts(df, label, prediction, [CANCELED, NOT_CANCELED])
 
 
+def _per_path(df: DataFrame, path: Sequence[str], **sums: Column) -> DataFrame:
+    """A row for each combination of path values with `_firsts`, and with the given columns summed.
+
+    `_firsts[d]` is how many bookings have their first row of a path prefix of length d there, so its sum over a prefix
+    is the prefix's number of distinct bookings. Rows are collapsed to one per booking and path before the shuffles;
+    within a booking, sorted by path, a prefix begins where it differs from that of the row before. So the table is
+    never copied once per level. Rows without id are one booking.
+    """
+    totals = [F.sum(c).alias(name) for name, c in sums.items()]
+    rows = df.groupBy(KEY, *path).agg(*totals) if totals else df.select(KEY, *path).distinct()
+    before = F.lag(F.struct(*path)).over(Window.partitionBy(KEY).orderBy(*path))
+    rows = rows.withColumn("_before", before)
+    begins, same = [F.col("_before").isNull()], F.lit(True)
+    for c in path:
+        same = same & F.col("_before")[c].eqNullSafe(F.col(c))
+        begins.append(F.col("_before").isNull() | ~same)
+    firsts = [F.sum(F.when(x, 1).otherwise(0)).alias(f"_f{d}") for d, x in enumerate(begins)]
+    grouped = rows.groupBy(*path).agg(*firsts, *[F.sum(name).alias(name) for name in sums])
+    return grouped.select(*path, F.array(*[f"_f{d}" for d in range(len(begins))]).alias("_firsts"), *sums)
+
+
+def _rolled_up(grouped: DataFrame, path: Sequence[str], *totals: Column) -> DataFrame:
+    """The groups rolled up along the path: level, the path, bookings and the totals."""
+    hidden = sum((F.grouping(c).cast("int") for c in path), F.lit(0))
+    firsts = F.array(*[F.sum(F.col("_firsts")[d]) for d in range(len(path) + 1)])
+    rolled = grouped.rollup(*path).agg((F.lit(len(path)) - hidden).cast("int").alias("level"), firsts.alias("_all"), *totals)
+    return rolled.withColumn("bookings", F.coalesce(F.get("_all", F.col("level")), F.lit(0))).drop("_all")
+
+
 def matrix(df: DataFrame, outer: str, inner: str, proba: str) -> DataFrame:
     """Distinct bookings and mean probability per outer and inner value, with subtotals and total.
 
     `level` is 2 for a cell, 1 for an outer subtotal, 0 for the grand total.
     """
-    hidden = F.grouping(outer).cast("int") + F.grouping(inner).cast("int")
-    return (
-        df.rollup(outer, inner)
-        .agg(
-            distinct_bookings().alias("bookings"),
-            F.avg(proba).alias("avg_proba"),
-            (F.lit(2) - hidden).cast("int").alias("level"),
-        )
-        .select("level", outer, inner, "bookings", "avg_proba")
-    )
+    grouped = _per_path(df, [outer, inner], _sum=F.col(proba), _n=F.when(F.col(proba).isNotNull(), 1))
+    mean = F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))
+    return _rolled_up(grouped, [outer, inner], mean.alias("avg_proba")).select("level", outer, inner, "bookings", "avg_proba")
 
 
 # Drivers and decomposition
@@ -167,12 +189,7 @@ def key_drivers(
 
 def decompose(df: DataFrame, path: Sequence[str]) -> DataFrame:
     """Distinct bookings along an ordered path of dimensions, at every depth of the path."""
-    hidden = sum((F.grouping(c).cast("int") for c in path), F.lit(0))
-    return (
-        df.rollup(*path)
-        .agg(distinct_bookings().alias("bookings"), (F.lit(len(path)) - hidden).cast("int").alias("level"))
-        .select("level", *path, "bookings")
-    )
+    return _rolled_up(_per_path(df, path), path).select("level", *path, "bookings")
 
 
 def decompose_topk(df: DataFrame, path: Sequence[str], k: int = 4) -> DataFrame:

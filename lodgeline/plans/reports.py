@@ -202,6 +202,24 @@ def decomposition_topk(t: Tables) -> DataFrame:
     return ops.decompose_topk(t.bookings, PATH)
 
 
+# The path of the report: all features with the lead time in bins, then the outcome.
+LONG_PATH = (
+    "booking_status", "market_segment_type", "room_type_reserved", "type_of_meal_plan", "arrival_year", "arrival_month",
+    "arrival_date", "lead_time_bin", "no_of_adults", "no_of_children", "no_of_weekend_nights", "no_of_week_nights",
+    "no_of_special_requests", "no_of_previous_cancellations", "no_of_previous_bookings_not_canceled", "repeated_guest",
+    "required_car_parking_space",
+)
+LONG_TREE = f"""SELECT CAST({len(LONG_PATH)} - ({" + ".join(f"grouping({c})" for c in LONG_PATH)}) AS INT) AS level,
+ {", ".join(LONG_PATH)}, count(DISTINCT Booking_ID) AS bookings
+FROM (SELECT *, CAST(floor(lead_time / 20) * 20 AS INT) AS lead_time_bin FROM bookings) b GROUP BY ROLLUP ({", ".join(LONG_PATH)})"""
+
+
+@query("decomposition_all_dimensions", LONG_TREE)
+def decomposition_all_dimensions(t: Tables) -> DataFrame:
+    bins = (F.floor(F.col("lead_time") / 20) * 20).cast("int")
+    return ops.decompose(t.bookings.withColumn("lead_time_bin", bins), LONG_PATH)
+
+
 # Prediction reports
 
 
