@@ -60,7 +60,7 @@ def test_upsert_splits_a_hot_target_key(hot):
 
 
 def test_upsert_of_a_hot_source_key_sends_one_row_per_task(hot):
-    out = tables.upsert(hot.filter("Booking_ID <> 'hot'"), hot.filter("Booking_ID = 'hot'"))
+    out = tables.upsert(hot.filter("Booking_ID <> 'hot'"), hot.filter("Booking_ID = 'hot'"), order_by="v")
     assert out.filter("Booking_ID = 'hot'").count() == 1 and out.count() == 40_001
 
 
