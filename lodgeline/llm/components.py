@@ -29,22 +29,22 @@ def _small_star(e: DataFrame) -> DataFrame:
     return others.union(least.select(F.col("c").alias("a"), F.col("m").alias("b")))
 
 
+def _settled(e: DataFrame) -> bool:
+    """Whether every edge leads straight to the least node: one edge a node, and none from the node it leads to."""
+    several = e.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    onward = e.join(e.select(F.col("u").alias("c")), F.col("v") == F.col("c"), "left_semi").select("u")
+    return several.union(onward).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """`node` and `component` (least node reachable) of every node but the least of each component.
 
     `edges` has long columns a and b. Every round ends in a written table; rounds stop when all edges lead straight to
-    the least node, which is found by comparing an order-free digest of the edges with the last one. A star is done
-    after one round, a path of n edges after about log n. Aggregations are minima, which combine before the shuffle,
-    and joins are plain equi-joins, which Spark splits where a node has very many edges.
+    the least node. Stars need one round, a path of n edges about log n. Aggregations are minima, which combine before
+    the shuffle, and joins are plain equi-joins, which Spark splits where a node has very many edges.
     """
-    digest = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")]
     e = staged(_directed(edges), "edges")
-    last = tuple(e.agg(*digest).first())
-    while last[0]:
+    while not _settled(e):
         e = staged(_directed(_large_star(e)), "edges")
         e = staged(_directed(_small_star(e)), "edges")
-        now = tuple(e.agg(*digest).first())
-        if now == last:
-            break
-        last = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgeline.llm.blocks import blocks, dealt
 from lodgeline.llm.common import staged
 from lodgeline.llm.components import components
 
@@ -175,59 +176,22 @@ def _coded(classes: DataFrame, codes, width: int) -> DataFrame:
 
 
 def _compared(rows: DataFrame, width: int, cosine: float) -> DataFrame:
-    """node, root, links of all blocks; rows of a block must follow each other."""
+    """node, root, links of all blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def worked(parts: list[pa.RecordBatch]):
-            block = pa.Table.from_batches(parts).combine_chunks()
+        for block in blocks(batches):
             if block.num_rows < 2:
-                return
-            get = lambda c: block.column(c).to_numpy()
+                continue
+            get = lambda c: block.column(c).to_numpy()  # noqa: B023, E731
             vectors = _matrix(block.column("embedding").combine_chunks(), width)
-            subs = block.column("subs").combine_chunks()
-            keys = subs.flatten().to_numpy().reshape(block.num_rows, -1)
+            keys = block.column("subs").combine_chunks().flatten().to_numpy().reshape(block.num_rows, -1)
             out = _block(vectors, get("node"), get("n"), keys, get("chunk"), int(get("key")[0]) >> 32, cosine)
             if out is not None:
                 yield pa.record_batch([pa.array(x) for x in out], ["node", "root", "links"])
 
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "lo", "hi")])
-            cuts = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                name = tuple(names[:, a])
-                if name != last:
-                    if held:
-                        yield from worked(held)
-                    held, last = [], name
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield from worked(held)
-
     return rows.mapInArrow(run, "node long, root long, links long")
 
 
-def _blocks(coded: DataFrame) -> DataFrame:
-    """Rows dealt to blocks, named by (key, lo, hi): the bucket, or two chunks of it."""
-    sizes = coded.groupBy("key").agg(F.count("*").alias("_size"))
-    large = staged(sizes.where(F.col("_size") > 2 * BLOCK), "large-buckets")
-    none = F.lit(0)
-    if large.isEmpty():
-        dealt = coded.withColumns({"chunk": none, "lo": none, "hi": none})
-    else:
-        usual = coded.join(large, "key", "left_anti").withColumns({"chunk": none, "lo": none, "hi": none})
-        parts = F.ceil(F.col("_size") / BLOCK).cast("int")
-        cut = coded.join(large, "key").withColumn("_parts", parts)
-        cut = cut.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
-        cut = cut.withColumn("_other", F.explode(F.sequence(none, F.col("_parts") - 1)))
-        cut = cut.withColumns({"lo": F.least("chunk", "_other"), "hi": F.greatest("chunk", "_other")})
-        dealt = usual.union(cut.select(usual.columns))
-    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-
-
 def near_vectors(
     embeddings: DataFrame, cosine: float = 0.95, miss: float = 0.002, sample_rows: int = 20_000
 ) -> DataFrame:
@@ -251,7 +215,7 @@ def near_vectors(
         few = own.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("embedding").toArrow()
         codes = learn_codes(_matrix(few.column(0).combine_chunks(), r["width"]), r["n"], cosine, miss)
         shared = spark.sparkContext.broadcast(codes)
-        found.append(_compared(_blocks(_coded(own, shared, r["width"])), r["width"], cosine))
+        found.append(_compared(dealt(_coded(own, shared, r["width"]), BLOCK), r["width"], cosine))
     if not found:
         found = [spark.createDataFrame([], "node long, root long, links long")]
     links = found[0]

@@ -4,10 +4,12 @@ A text's set of word shingles is hashed once; the hash's top bits name a bin, an
 bins borrow from the non-empty bin that comes first in an order drawn for each bin (optimal densification: any two
 sets still agree in a bin with their Jaccard similarity as probability). Bands of bins are bucket keys.
 
-Each bucket becomes a star: its members are compared with one centre, on their full sets. Linked members are joined to
-components. A bucket whose members still lie in several components gets new centres, taken from its smallest
-components, until all members that lie apart have been compared. So stars bound the pairs of a round by the number of
-members, and no pair that meets in a bucket is lost, be the bucket as large as it may.
+Each bucket of the first bands becomes a star: its members are compared with one centre, on their full sets, and linked
+members are joined to components. Buckets whose members still lie in several components are worked off as blocks of
+signatures: each member outside the block's largest component gets its best partner from another component, and
+after another round of components every pair that still lies apart and could be similar enough by its signatures is
+compared on the full sets, in the first bucket where it meets. So a large group of copies costs a star, and no pair
+that meets in a bucket is lost, be the bucket as large as it may.
 """
 
 from __future__ import annotations
@@ -20,11 +22,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgeline.llm.blocks import blocks, dealt
 from lodgeline.llm.common import mixed, staged, text_column, window_hashes, word_hashes, words
 from lodgeline.llm.components import components
 
 BINS = 256
 BAND = 5
+#: Bands whose buckets become stars.
+STARS = 8
+#: A pair of similarity 0.75 agrees in a share of its bins smaller by this with a probability of 5e-6, about as rarely
+#: as it meets in no bucket.
+SLACK = 0.12
+#: Members of a chunk of a large bucket.
+BLOCK = 1024
 
 
 def _bin_orders(bins: int) -> np.ndarray:
@@ -113,72 +123,119 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int = 5) ->
     return pairs.join(other, "b").join(center, "a").mapInArrow(run, "a long, b long")
 
 
-def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their component."""
-    if labels is None:
-        return members.withColumn("component", F.col("node"))
     named = labels.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
     joined = members.join(named, F.col("node") == F.col("_node"), "left")
     return joined.withColumn("component", F.coalesce("_component", "node")).drop("_node", "_component")
 
 
-def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of buckets that reach over several components, with the size of their component in the bucket."""
-    m = _labelled(members, labels)
-    sizes = staged(m.groupBy("key", "component").agg(F.count("*").alias("of_component")), "bucket-parts")
-    spread = sizes.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
-    kept = sizes.join(spread, "key", "left_semi")
-    return staged(m.join(kept, ["key", "component"]), "open-buckets")
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that reach over several components, with their component."""
+    m = _labelled(members.select("key", "band", "node", "n"), labels)
+    spread = m.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return staged(m.join(staged(spread, "open-buckets"), "key"), "open-members")
 
 
-def near_duplicates(documents: DataFrame, percent: int = 75, size: int = 5, centers: int = 64) -> DataFrame:
+def _signs(texts: DataFrame, size: int) -> DataFrame:
+    """Signature of every node's text, 32 bits a bin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signs = [(signature(shingle_set(t.as_py(), size)) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for t in batch.column(1)]
+            yield pa.record_batch([batch.column(0), pa.array(signs, pa.binary())], ["_node", "signs"])
+
+    return texts.select("node", "text").mapInArrow(run, "_node long, signs binary")
+
+
+def _apart(block: pa.Table, percent: int, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block (by row) in different components that could be similar enough.
+
+    With `best_only` the best partner of each member outside the largest component; else every pair that meets in no
+    earlier band.
+    """
+    get = lambda c: block.column(c).to_numpy()
+    signs = np.frombuffer(b"".join(block.column("signs").to_pylist()), "<u4").reshape(block.num_rows, BINS)
+    component, n, chunk, band = get("component"), get("n"), get("chunk"), int(get("band")[0])
+    names, number, counts = np.unique(component, return_inverse=True, return_counts=True)
+    largest = int(counts.argmax())
+    bands, plausible = BINS // BAND, percent / 100 - SLACK
+    first, second = [], []
+    for i in np.flatnonzero(number != largest).tolist():
+        others = number != number[i]
+        if chunk.min() != chunk.max():
+            others &= chunk != chunk[i]
+        # Of two members outside the largest component, the later one looks.
+        others[i:] &= number[i:] == largest
+        others &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
+        at = np.flatnonzero(others)
+        same = signs[at] == signs[i]
+        agree = same[:, : bands * BAND].mean(axis=1)
+        if best_only:
+            if len(at) and agree.max() >= plausible:
+                first.append(i)
+                second.append(int(at[agree.argmax()]))
+            continue
+        keep = agree >= plausible
+        if band and keep.any():
+            met = same[keep][:, : band * BAND].reshape(-1, band, BAND).all(axis=2).any(axis=1)
+            keep[np.flatnonzero(keep)[met]] = False
+        second.extend(at[keep].tolist())
+        first.extend([i] * int(keep.sum()))
+    return np.array(first, np.int64), np.array(second, np.int64)
+
+
+def _plausible(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            i, j = _apart(block, percent, best_only)
+            if len(i):
+                node = block.column("node").to_numpy()
+                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").where("a < b").distinct()
+
+
+def near_duplicates(documents: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     """Set size, component and survivor of every document: doc_id, n_shingles, component_id, kept.
 
     Documents are linked if their sets of `size`-word shingles have a Jaccard similarity of `percent` or more; a
     shorter text is one shingle; texts without words are linked with nothing. Equal sets are one node of the graph,
     whose texts are never paired; rows with one doc_id are one node, too. Rows without doc_id are linked with nothing,
-    have no component_id and are kept. An empty table gives no rows; other columns are ignored. `centers` is how many
-    centres a bucket gets at a time after its first; it changes the number of rounds, not the result.
+    have no component_id and are kept. An empty table gives no rows; other columns are ignored. Bins and bands are
+    chosen for `percent` of 75 and above.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     signed = staged(signatures(documents, size), "signatures")
     named = signed.where("doc_id IS NOT NULL AND h IS NOT NULL")
     classes = staged(named.groupBy("h").agg(F.min("doc_id").alias("node")), "classes")
     leads = named.join(classes.withColumnRenamed("h", "_h"), (F.col("doc_id") == F.col("node")) & (F.col("h") == F.col("_h")))
-    bands = leads.select("node", "n", F.explode("keys").alias("key"))
+    bands = leads.select("node", "n", F.posexplode("keys").alias("band", "key"))
     # Buckets of one node are left out before anything is joined.
-    shared = bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    shared = bands.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("hi")).where("center < hi").drop("hi")
     members = staged(bands.join(staged(shared, "buckets"), "key").distinct(), "members")
     nodes = members.select("node").distinct()
     whole = documents.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     texts = staged(whole.select(F.col("doc_id").alias("node"), "text").distinct(), "texts")
 
-    links, labels, at_once = None, None, 1
-    while True:
-        members = _open_members(members.select("key", "node", "n"), labels)
-        rank = F.expr("row_number() OVER (PARTITION BY key ORDER BY of_component, component, node)")
-        chosen = members.withColumn("rank", rank).where(F.col("rank") <= at_once)
-        chosen = staged(chosen.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a")), "centers")
-        if chosen.isEmpty():
+    stars = members.where((F.col("band") < STARS) & (F.col("node") != F.col("center")))
+    stars = stars.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    labels = components(staged(verified(staged(stars, "pairs"), texts, percent, size), "links"))
+    signs = None
+    for best_only in (True, False):
+        left = _open_members(members, labels)
+        if left.isEmpty():
             break
-        near = (
-            members.join(chosen, "key")
-            .where("component <> c_a AND 100 * least(n, n_a) >= %d * greatest(n, n_a)" % percent)
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-            .distinct()
-        )
-        found = staged(verified(staged(near, "pairs"), texts, percent, size), "links")
-        links = found if labels is None else found.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels = components(links)
-        done = chosen.select(F.col("key").alias("_key"), F.col("a").alias("_a"))
-        members = members.join(done, (F.col("key") == F.col("_key")) & (F.col("node") == F.col("_a")), "left_anti")
-        at_once = centers
+        if signs is None:
+            signs = staged(_signs(texts.join(left.select("node").distinct(), "node", "left_semi"), size), "signs")
+        rows = left.join(signs, F.col("node") == F.col("_node")).drop("_node")
+        pairs = staged(_plausible(dealt(rows, BLOCK), percent, best_only), "pairs")
+        links = staged(verified(pairs, texts, percent, size), "links")
+        labels = components(links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     linked = signed.select("doc_id", "n", "h").where("doc_id IS NOT NULL AND h IS NOT NULL").join(classes, "h")
-    if labels is not None:
-        linked = linked.join(labels, "node", "left")
-    else:
-        linked = linked.withColumn("component", F.lit(None).cast("long"))
+    linked = linked.join(labels, "node", "left")
     out = linked.select("doc_id", "n", F.coalesce("component", "node").alias("component_id"))
     alone = signed.where("doc_id IS NULL OR h IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return out.union(alone).select(

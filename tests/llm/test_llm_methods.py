@@ -177,7 +177,7 @@ def test_shards(documents, texts):
 def test_near_duplicates(spark, documents, texts):
     copies = [(10_000 + k, " ".join(t.split()[: max(1, len(t.split()) - 3 * (k % 4))]), None, None, 0) for k, t in texts.items()]
     extra = spark.createDataFrame(copies, "doc_id long, text string, lang string, source string, n_chars long")
-    rows = minhash.near_duplicates(documents.union(extra), centers=2).collect()
+    rows = minhash.near_duplicates(documents.union(extra)).collect()
     whole = texts | {r[0]: r[1] for r in copies}
     sets = {k: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := words(t)) else set() for k, t in whole.items()}
     holders = defaultdict(list)
@@ -196,7 +196,7 @@ def test_stars_lose_no_link_between_members(spark):
     """A chain of texts, each near only to the next: no centre is near to all."""
     body = [f"w{k}" for k in range(400)]
     rows = [(k, " ".join(body[12 * k : 12 * k + 100])) for k in range(25)]
-    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), centers=1).collect()
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["component_id"] for r in found} == {0}
 
 
