@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeline.llm.common import text_column
+from lodgeline.llm.common import staged, text_column
 
 BITS = 13
 ORDERS = (1, 2, 3)
@@ -128,9 +128,17 @@ def _document_frequencies(training: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _sample(training: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(language, n-grams, counts) of `per_language` rows of each language, those with the least hash of the id."""
+    """(language, n-grams, counts) of `per_language` rows of each language at most, those with the least hash of the id.
+
+    Rows beyond a hash that leaves about four times as many are dropped where they are read, so what is ranked does not
+    grow with the table.
+    """
+    counts = staged(training.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n")), "languages")
+    place = F.xxhash64("doc_id")
+    share = F.least(F.lit(1.0), 4.0 * per_language / F.col("_n"))
+    near = training.join(counts, F.col("lang") == F.col("_lang")).where(place <= F.lit(-(2.0**63)) + share * 2.0**64)
     rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id), xxhash64(text))")
-    few = training.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select("lang", "text")
+    few = near.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
