@@ -25,10 +25,6 @@ from lodgeline.llm.tokens import byte_symbols
 #: Fixed value: how byte-level vocabularies of this kind cut texts into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-#: White space other than single blanks and line feeds between visible characters.
-IRREGULAR = regex.compile(r"[^\S \n]|\s\s|^\s|\s$|\x1e")
-
-
 class Vocabulary:
     """Pieces and merges of a byte-level tokenizer file, as arrays."""
 
@@ -156,42 +152,43 @@ class Encoder:
         """The text in parts that no word crosses.
 
         A single blank or line feed between visible characters always begins a word, so cutting there is safe, and
-        much faster than finding all words. Other white space is left to the word pattern.
+        much faster than finding all words. Texts with other white space are left to the word pattern.
         """
-        if IRREGULAR.search(text):
+        if text.replace("\n", " ") != " ".join(text.split()) or "\x1e" in text:
             return WORDS.findall(text)
         return text.replace("\n", "\x1e\n\x1e").replace(" ", "\x1e ").split("\x1e") if text else []
 
-    def parts(self, text: str) -> list[tuple[bool, str]]:
-        """The text cut at special tokens, which are flagged."""
+    def parts(self, text: str) -> list[str]:
+        """Chunks of the text; special tokens are chunks."""
         if self.cut is None or not any(s in text for s in self.specials):
-            return [(False, text)]
-        return [(k % 2 == 1, part) for k, part in enumerate(self.cut.split(text)) if part]
-
-    def learn(self, texts: list[str]) -> None:
-        """Encode all chunks of the texts that are not known."""
-        new: set[str] = set()
-        for text in texts:
-            for special, part in self.parts(text):
-                if not special:
-                    new.update(set(self.chunks(part)).difference(self.known))
-        if self.known and len(self.known) + len(new) > self.limit:
-            self.known = {}
-            return self.learn(texts)
+            return self.chunks(text)
+        out = []
+        for k, part in enumerate(self.cut.split(text)):
+            out.extend([part] if k % 2 else self.chunks(part))
+        return out
+
+    def learn(self, new: set[str]) -> None:
+        """Encode these chunks, all words of them in one index."""
         split = {chunk: [w.encode("utf-8", "surrogatepass") for w in WORDS.findall(chunk)] for chunk in new}
-        words = sorted({w for found in split.values() for w in found})
+        words = list({w for found in split.values() for w in found})
         index = PairIndex(self.v, words)
         index.merge()
         ids = dict(zip(words, index.ids()))
         for chunk, found in split.items():
-            self.known[chunk] = b"".join([ids[w] for w in found])
+            self.known[chunk] = ids[found[0]] if len(found) == 1 else b"".join([ids[w] for w in found])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        self.learn(texts)
-        for text in texts:
-            yield b"".join(
-                [self.specials[p] if special else b"".join([self.known[c] for c in self.chunks(p)]) for special, p in self.parts(text)]
-            )
+        split = [self.parts(text) for text in texts]
+        met = set().union(*split)
+        new = met.difference(self.known, self.specials)
+        if len(self.known) + len(new) > self.limit:
+            # Chunks of these texts stay, the common ones among them.
+            self.known = {c: self.known[c] for c in met.intersection(self.known)}
+        self.known.update(self.specials)
+        self.learn(new)
+        known = self.known
+        for chunks in split:
+            yield b"".join([known[c] for c in chunks])
 
     def decode(self, ids: bytes) -> str:
         pieces = self.v.pieces
