@@ -117,7 +117,7 @@ class ChunkEncoder:
 
     SIGNS = frozenset(".,;:!?")
 
-    def __init__(self, tokenizer: str, limit: int = 600_000):
+    def __init__(self, tokenizer: str, limit: int = 400_000):
         self.tokenizer, self.limit = _load(tokenizer), limit
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -134,23 +134,25 @@ class ChunkEncoder:
 
     def _learn(self, new: set[str]) -> None:
         parts = {chunk: self._word(chunk) for chunk in new}
-        todo = list({p for pair in parts.values() for p in pair}.difference(self.words))
-        if len(self.words) + len(todo) > self.limit:
-            self.words = {}
-            todo = list({p for pair in parts.values() for p in pair})
+        needed = {p for pair in parts.values() for p in pair}
+        if len(self.words) + len(needed) > self.limit // 2:
+            self.words = {w: self.words[w] for w in needed.intersection(self.words)}
+        todo = list(needed.difference(self.words))
         for k in range(0, len(todo), 20_000):
             part = todo[k : k + 20_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.words[word] = np.array(e.ids, "<u4").tobytes()
         for chunk, (word, sign) in parts.items():
-            self.known[chunk] = self.words[word] + self.words[sign]
+            self.known[chunk] = self.words[word] + self.words[sign] if sign else self.words[word]
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = set().union(*split)
+        met = set().union(*split)
+        new = met.difference(self.known)
         if len(self.known) + len(new) > self.limit:
-            self.known = {}
-        self._learn(new.difference(self.known))
+            # Chunks of these texts stay, the common ones among them.
+            self.known = {c: self.known[c] for c in met.intersection(self.known)}
+        self._learn(new)
         known = self.known
         for chunks in split:
             yield b"".join([known[c] for c in chunks])
