@@ -229,7 +229,9 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = 5) -> D
             break
         if signs is None:
             signs = staged(_signs(texts.join(left.select("node").distinct(), "node", "left_semi"), size), "signs")
-        rows = left.join(signs, F.col("node") == F.col("_node")).drop("_node")
+        # Good partners meet in most bands, so the best ones are sought in a few; the last stage looks at all.
+        own = left.where(F.col("band") < 2 * STARS) if best_only else left
+        rows = own.join(signs, F.col("node") == F.col("_node")).drop("_node")
         pairs = staged(_plausible(dealt(rows, BLOCK), percent, best_only), "pairs")
         links = staged(verified(pairs, texts, percent, size), "links")
         labels = components(links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
