@@ -112,7 +112,8 @@ class ChunkEncoder:
 
     No token of a tokenizer that drops white space reaches across a blank or a line feed, so a text's ids are those of
     its chunks between them. A sign after a letter is a token's limit as well, and ASCII is lowered alike everywhere,
-    so chunks that differ in capitals or in a sign at the end share the ids of one word.
+    so chunks that differ in capitals or in a sign at the end share the ids of one word. Added tokens are looked for
+    before anything is lowered, so chunks that would hold one in lower case are asked for as they stand.
     """
 
     SIGNS = frozenset(".,;:!?")
@@ -121,11 +122,15 @@ class ChunkEncoder:
         self.tokenizer, self.limit = _load(tokenizer), limit
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _word(self, chunk: str) -> tuple[str, str]:
         """What to ask for, and the sign at the end."""
+        lowered = chunk.lower()
+        if any(token in lowered for token in self.added):
+            return chunk, ""
         if chunk[-1:] in self.SIGNS and chunk[-2:-1].isalpha():
             chunk, sign = chunk[:-1], chunk[-1]
         else:

@@ -422,6 +422,21 @@ def test_chunks_encode_like_whole_texts(texts):
             assert np.frombuffer(ids, "<u4").tolist() == want.ids
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<|ENDOFTEXT|>", "<|StartOfText|>", "a<|EndOfText|>b<|endoftext|>C", "<|endoftext|>. <|ENDOFTEXT|>, <|endoftext|>Word.",
+        "É<|ENDOFTEXT|> x", "<|EnDoFtExT|><|startoftext|>",
+    ],
+)
+def test_added_tokens_in_capitals_are_text(text):
+    library = Tokenizer.from_file(WORD_BPE)
+    with open(WORD_BPE, encoding="utf-8") as f:
+        encode = packing.ChunkEncoder(f.read())
+    (ids,) = encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 # The pipeline
 
 
