@@ -128,17 +128,23 @@ def _document_frequencies(training: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def _sample(training: DataFrame, per_language: int) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """(language, n-grams, counts) of `per_language` rows of each language at most, those with the least hash of the id.
+    """(language, n-grams, counts) of the `per_language` rows of each language with the least hash of id and text; all, if
+    there are fewer.
 
-    Rows beyond a hash that leaves about four times as many are dropped where they are read, so what is ranked does not
-    grow with the table.
+    The rows of each 2**-16 of the hashes are counted; rows beyond the part that completes the sample are dropped where
+    they are read. Equal rows are one row with their number until the end, so what is ranked does not grow with copies.
     """
-    counts = staged(training.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n")), "languages")
-    place = F.xxhash64("doc_id")
-    share = F.least(F.lit(1.0), 4.0 * per_language / F.col("_n"))
-    near = training.join(counts, F.col("lang") == F.col("_lang")).where(place <= F.lit(-(2.0**63)) + share * 2.0**64)
-    rank = F.expr("row_number() OVER (PARTITION BY lang ORDER BY xxhash64(doc_id), xxhash64(text))")
-    few = near.withColumn("_rank", rank).where(F.col("_rank") <= per_language).select("lang", "text")
+    place = F.xxhash64("doc_id", "text")
+    part = F.shiftright(place, 48)
+    counts = training.groupBy(F.col("lang").alias("_lang"), part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.expr("sum(_n) OVER (PARTITION BY _lang ORDER BY _part) - _n")
+    needed = counts.withColumn("_before", before).where(F.col("_before") < per_language)
+    last = staged(needed.groupBy("_lang").agg(F.max("_part").alias("_last")), "languages")
+    near = training.join(last, F.col("lang") == F.col("_lang")).where(part <= F.col("_last"))
+    kinds = near.groupBy("lang", "doc_id", "text").agg(F.count("*").alias("_n"))
+    before = F.expr("sum(_n) OVER (PARTITION BY lang ORDER BY xxhash64(doc_id, text), doc_id, text) - _n")
+    few = kinds.withColumn("_before", before).where(F.col("_before") < per_language)
+    few = few.select("lang", "text", F.least("_n", F.lit(per_language) - F.col("_before")).alias("_n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,11 +154,12 @@ def _sample(training: DataFrame, per_language: int) -> list[tuple[str, np.ndarra
                 grams.append(np.flatnonzero(own).astype(np.int32))
                 counts.append(own[grams[-1]].astype(np.int32))
             kind = pa.list_(pa.int32())
-            yield pa.record_batch([batch.column(0), pa.array(grams, kind), pa.array(counts, kind)], ["lang", "grams", "counts"])
+            columns = [batch.column(0), pa.array(grams, kind), pa.array(counts, kind), batch.column(2)]
+            yield pa.record_batch(columns, ["lang", "grams", "counts", "n"])
 
-    rows = few.mapInArrow(run, "lang string, grams array<int>, counts array<int>").toArrow().to_pydict()
-    found = zip(rows["lang"], rows["grams"], rows["counts"])
-    out = [(lang, np.array(g, np.int64), np.array(c, np.int64)) for lang, g, c in found if len(g)]
+    rows = few.mapInArrow(run, "lang string, grams array<int>, counts array<int>, n long").toArrow().to_pydict()
+    found = zip(rows["lang"], rows["grams"], rows["counts"], rows["n"])
+    out = [(lang, np.array(g, np.int64), np.array(c, np.int64)) for lang, g, c, n in found if len(g) for _ in range(n)]
     return sorted(out, key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
 
 
@@ -167,6 +174,8 @@ def train(training: DataFrame, per_language: int = 1000) -> Model | None:
         return None
     idf = np.log((1 + total) / (1 + seen)) + 1
     sample = _sample(training, per_language)
+    if not sample:
+        return None
     languages = sorted({lang for lang, _, _ in sample})
     labels = np.array([languages.index(lang) for lang, _, _ in sample])
     rows = []
@@ -236,9 +245,14 @@ def identify(documents: DataFrame, per_language: int = 1000) -> DataFrame:
 
 
 def of_known_language(documents: DataFrame, least_score: float = 0.4, per_language: int = 1000) -> DataFrame:
-    """The documents with a recognised language and at least this score, with their own columns."""
+    """The documents with a recognised language and at least this score, with their own columns.
+
+    If there is nothing to learn from, no language can be told from another, and all documents with a letter are returned.
+    """
     columns = documents.columns
     model = train(_rows(documents), per_language)
+    if model is None:
+        return documents.where(text_column().rlike(r"\p{L}"))
     named = predict(documents.select(F.struct(*[F.col(c) for c in columns]).alias("row"), text_column().alias("text")), model)
     kept = named.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
     return kept.select(*[F.col("row")[c].alias(c) for c in columns])

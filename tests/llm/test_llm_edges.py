@@ -117,3 +117,32 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd):
 
 def test_extra_columns_do_not_reach_the_result(odd):
     assert sharding.hilbert_shards(odd.withColumn("place", F.lit(1))).columns[:3] == ["doc_id", "size", "text_crc32"]
+
+
+GERMAN = "der schnelle braune fuchs springt über den faulen hund"
+
+
+@pytest.mark.parametrize("each", ["own", "one"])
+def test_language_of_rows_without_id_is_learnt(spark, each):
+    text = {"own": f"concat('{GERMAN} ', id)", "one": f"'{GERMAN}'"}[each]
+    without = spark.range(60).selectExpr("CAST(NULL AS LONG) AS doc_id", f"{text} AS text", "'de' AS lang")
+    others = spark.range(60).selectExpr("id AS doc_id", f"concat('{PROSE}', id) AS text", "'en' AS lang")
+    for rows in (without.union(others), without, others.withColumn("doc_id", F.lit(7).cast("long"))):
+        model = language.train(rows, per_language=5)
+        assert model is not None and model.languages == sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    named = language.identify(without.union(others), per_language=5).where("doc_id IS NULL")
+    assert {r["lang_pred"] for r in named.collect()} == {"de"}
+
+
+def test_sample_is_full_whatever_the_ids(spark):
+    rows = spark.range(500).selectExpr("IF(id < 400, 1L, NULL) AS doc_id", f"concat('{PROSE}', id % 90) AS text", "'en' AS lang")
+    assert len(language._sample(rows, 20)) == 20
+    assert len(language._sample(rows, 600)) == 500
+    assert len(language._sample(rows.limit(0), 20)) == 0
+
+
+def test_documents_pass_if_no_language_can_be_learnt(spark):
+    rows = [(1, PROSE, None, "a", 3), (2, "words", None, "a", 3), (3, "12 ?", None, "a", 3), (4, None, None, "a", None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = language.of_known_language(table)
+    assert left.columns == table.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 2]
