@@ -128,6 +128,21 @@ def test_repeated_substrings_of_a_host_go(spark):
     assert found[9] == f"{menu} own words"
 
 
+def test_text_beside_articles_is_evidence(spark):
+    footer = "made by the people of this small house"
+    kind = "page_id long, url string, html string"
+    for boilerplate in (f"<div>{footer}</div>", f"<footer>{footer}</footer>"):
+        rows = [(k, f"http://h.example/{k}", f"<article>story {k}</article>{boilerplate}") for k in range(4)]
+        rows += [(9, "http://h.example/open", f"<div>own words stand here</div><div>{footer}</div>")]
+        found = {r["page_id"]: r["text"] for r in extraction.main_text(spark.createDataFrame(rows, kind)).collect()}
+        assert found == {**{k: f"story {k}" for k in range(4)}, 9: "own words stand here"}
+    # Copies of an article page are one page.
+    rows = [(k, "http://h.example/x", f"<article>story</article><div>{footer}</div>") for k in range(4)]
+    rows += [(9, "http://h.example/open", f"<div>own words stand here</div><div>{footer}</div>")]
+    found = {r["page_id"]: r["text"] for r in extraction.main_text(spark.createDataFrame(rows, kind)).collect()}
+    assert found[9] == f"own words stand here {footer}"
+
+
 @needs_tables
 def test_pages_with_articles(spark):
     con = duckdb.connect()
