@@ -3,7 +3,8 @@
 Rotations are learnt that turn centred unit vectors into balanced binary codes: the principal axes are rotated so that
 rounding to signs loses least. Substrings of the codes are the keys of tables; vectors that agree in a substring meet
 in a bucket and are compared with their original components in double precision. How many tables are needed follows
-from how often substrings of vectors at just the least cosine agree, which is measured on the sample.
+from how many pairs at just the least cosine meet in none, which is measured on the sample, for differences in any
+direction and for differences shaped like the data.
 
 Buckets are worked off as matrix blocks. A block returns a number and a root for each of its vectors, never pairs; a
 bucket beyond `BLOCK` vectors is cut into chunks, and every pair of chunks is a block of its own.
@@ -27,6 +28,9 @@ from lodgeline.llm.components import components
 #: Vectors of a chunk of a large bucket.
 BLOCK = 2048
 
+#: Pairs, at least, on which tables are measured.
+PAIRS = 20_000
+
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Rows of length one, in double precision; the greatest component goes first, so that no square overflows."""
@@ -65,9 +69,11 @@ class Codes:
         return out
 
 
-def _at_cosine(units: np.ndarray, cosine: float, rng: np.random.Generator) -> np.ndarray:
-    """A random unit vector at just this cosine from each row."""
+def _at_cosine(units: np.ndarray, cosine: float, shape: np.ndarray | None, rng: np.random.Generator) -> np.ndarray:
+    """A random unit vector at just this cosine from each row; the differences are isotropic or have a `shape`."""
     noise = rng.standard_normal(units.shape)
+    if shape is not None:
+        noise = noise @ shape
     noise -= (noise * units).sum(axis=1, keepdims=True) * units
     norm = np.sqrt((noise * noise).sum(axis=1, keepdims=True))
     return cosine * units + math.sqrt(1 - cosine**2) * noise / np.where(norm > 0, norm, 1)
@@ -77,41 +83,49 @@ def learn_codes(sample: np.ndarray, n: int, cosine: float, miss: float, most: in
     """Codes for `n` vectors of which `sample` are some.
 
     A substring has about log2(n) - 3 bits, so that buckets stay small as n grows; fewer, if more than `most` tables
-    were needed to leave at most `miss` of the pairs at the least cosine apart. If no bit serves, all vectors share one
-    bucket, which compares every pair of blocks.
+    were needed to leave at most `miss` of the pairs at the least cosine apart. That share is counted on pairs made from
+    a quarter of the sample, of which the rotations know nothing, for isotropic differences and for ones with the
+    sample's covariance, and the worse one counts. If no bit serves, all vectors share one bucket, which compares every
+    pair of blocks.
     """
     rng = np.random.default_rng(seed)
     units = unit(sample)
-    mean = units.mean(axis=0)
-    centred = units - mean
+    back = np.arange(len(units)) % 4 == 3
+    held = units[back] if back.any() else units
+    values, axes = np.linalg.eigh(np.cov(units.T, bias=True).reshape(units.shape[1], -1))
+    shape = np.sqrt(np.maximum(values, 0))[:, None] * axes.T
+    mean = units[~back].mean(axis=0)
+    centred = units[~back] - mean
     _, axes = np.linalg.eigh(centred.T @ centred)
     axes = axes[:, ::-1][:, : min(64, units.shape[1])]
     width = axes.shape[1]
-    moved = _at_cosine(units, cosine, rng)
-
-    rotations: list[np.ndarray] = []
-
-    def rotated(count: int) -> np.ndarray:
-        while len(rotations) < count:
-            rotations.append(axes @ iterative_quantisation(centred @ axes, 30, rng))
-        return np.concatenate(rotations[:count], axis=1)
-
-    size = min(width, 30, max(6, round(math.log2(max(n, 2))) - 3))
-    need = per = 1
-    while size:
-        per = width // size
-        tables = [np.arange(k * size, (k + 1) * size) for k in range(per)]
-        code = Codes(mean, rotated(1), tables)
-        together = (code.substrings(units) == code.substrings(moved)).mean()
-        need = max(1, math.ceil(math.log(miss) / math.log1p(-min(max(together, 1e-9), 1 - 1e-9))))
-        if need <= most:
-            break
-        size -= 1
-    if not size:
-        return Codes(mean, rotated(1), [np.arange(0)])
-    count = -(-need // per)
-    tables = [np.arange(k * size, (k + 1) * size) + r * width for r in range(count) for k in range(per)][:need]
-    return Codes(mean, rotated(count), tables)
+    inside = centred @ axes
+    some = np.resize(held, (max(len(held), PAIRS), units.shape[1]))
+    ends = [(some - mean) @ axes, *((_at_cosine(some, cosine, own, rng) - mean) @ axes for own in (None, shape))]
+
+    turns: list[np.ndarray] = []
+    #: For each rotation the bits in which the pairs differ, by kind of difference.
+    apart: list[list[np.ndarray]] = []
+
+    def turn() -> None:
+        turns.append(iterative_quantisation(inside, 30, rng))
+        bits = [x @ turns[-1] >= 0 for x in ends]
+        apart.append([bits[0] != other for other in bits[1:]])
+
+    turn()
+    for size in range(min(width, 30, max(6, round(math.log2(max(n, 2))) - 3)), 0, -1):
+        tables: list[np.ndarray] = []
+        missed = [np.ones(len(some), bool) for _ in apart[0]]
+        while len(tables) < most:
+            rotation, place = divmod(len(tables), width // size)
+            if rotation == len(turns):
+                turn()
+            at = np.arange(place * size, (place + 1) * size)
+            tables.append(at + rotation * width)
+            missed = [own & differ[:, at].any(axis=1) for own, differ in zip(missed, apart[rotation])]
+            if max(own.mean() for own in missed) <= miss:
+                return Codes(mean, axes @ np.concatenate(turns[: rotation + 1], axis=1), tables)
+    return Codes(mean, axes @ turns[0], [np.arange(0)])
 
 
 def _proper(name: str) -> Column:

@@ -363,6 +363,19 @@ def test_vectors_linked(spark, monkeypatch, block):
     assert np.mean([found[k]["component_id"] == want[k] for k in want]) > 0.98
 
 
+@pytest.mark.parametrize("width, power", [(64, -1.0), (256, -0.5)])
+def test_tables_hold_for_differences_shaped_like_the_data(width, power):
+    rng = np.random.default_rng(2)
+    scale = np.arange(1, width + 1) ** power
+    sample = rng.standard_normal((2000, width)) * scale
+    codes = embeddings.learn_codes(sample, 10_000_000, 0.95, 0.002)
+    a = embeddings.unit(rng.standard_normal((5000, width)) * scale)
+    noise = rng.standard_normal((5000, width)) * scale
+    noise -= (noise * a).sum(axis=1, keepdims=True) * a
+    b = 0.95 * a + math.sqrt(1 - 0.95**2) * embeddings.unit(noise)
+    assert (codes.substrings(a) != codes.substrings(b)).all(axis=1).mean() <= 0.006
+
+
 def test_rotation_makes_signs_fit():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((500, 16)) * np.linspace(0.3, 2, 16)
