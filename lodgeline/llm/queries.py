@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeline.llm import bpe, embeddings, extraction, language, minhash, packing, quality, scoring, sharding, tokens
+from lodgeline.llm import (
+    bpe,
+    embeddings,
+    extraction,
+    language,
+    minhash,
+    packing,
+    quality,
+    resampling,
+    scoring,
+    sharding,
+    tokens,
+)
 from lodgeline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +92,11 @@ ORACLES["op9_adaptive_quality"] = quality.SQL
 @query("op10_best_fit")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op11_importance_resampling")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op11_importance_resampling"] = resampling.SQL
