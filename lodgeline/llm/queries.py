@@ -15,6 +15,8 @@ from lodgeline.llm import (
     language,
     minhash,
     packing,
+    personal,
+    phrases,
     quality,
     resampling,
     scoring,
@@ -100,3 +102,16 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op11_importance_resampling"] = resampling.SQL
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.personal_data(table(spark, folder, "documents"))
+
+
+@query("op13_phrases")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op13_phrases"] = phrases.SQL
