@@ -13,12 +13,14 @@ what it lets through.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -148,18 +150,25 @@ def _named_rows(named: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(columns, ["lang", "phrase", "hash", "n"])
 
 
-def _counted(texts: DataFrame, bits: np.ndarray | None, before: np.ndarray | None, least: int, name: bool, first: bool) -> DataFrame:
+def _shared(spark: SparkSession, bits: np.ndarray | None) -> Broadcast:
+    """The map for all tasks, compressed: with few proposals it is next to nothing."""
+    return spark.sparkContext.broadcast(None if bits is None else zlib.compress(bits.tobytes(), 1))
+
+
+def _opened(shared: Broadcast) -> np.ndarray | None:
+    return None if shared.value is None else np.frombuffer(zlib.decompress(shared.value), np.uint8)
+
+
+def _counted(texts: DataFrame, shared: Broadcast, earlier: Broadcast, least: int, name: bool, first: bool) -> DataFrame:
     """Counts of `least` or more that no earlier pass has: lang, phrase, hash, n.
 
-    `bits` are the proposals now and `before` those of the pass before. Proposed phrases come with their words (not
+    `shared` are the proposals now and `earlier` those of the pass before. Proposed phrases come with their words (not
     without `name`), border phrases with their hash. The first pass also counts all words of a language, as the
     phrase without words.
     """
-    context = texts.sparkSession.sparkContext
-    shared, earlier = context.broadcast(bits), context.broadcast(before)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, then = shared.value, earlier.value
+        now, then = _opened(shared), _opened(earlier)
         border, named = _Border(), defaultdict(Counter)
         for tokens, fresh, names, langs in _slices(batches):
             known = known_then = None
@@ -218,21 +227,30 @@ def frequent(documents: DataFrame, least: int = 30, sample: int = SAMPLE, size:
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample))
     placed = documents.select(named.alias("lang"), text_column().cast("binary").alias("text"), place.alias("place"))
     texts, drawn = placed.select("lang", "text"), placed.where("place = 0").select("lang", "text")
-    bits = before = None
-    for level in range(MOST):
-        # The sample is mined level by level: its border holds the next longer phrases.
-        found = staged(_counted(drawn, bits, before, max(2, 3 * least // (4 * sample)), name=False, first=level == 0), "proposed")
-        before, bits = bits, _with(bits, found.where("hash IS NOT NULL"), size)
-        if bits is before:
-            break
-    before, out, first = None, None, True
-    while True:
-        found = staged(_counted(texts, bits, before, least, name=True, first=first), "counted")
-        named = found.where("phrase IS NOT NULL").select("lang", "phrase", "n")
-        out = named if out is None else out.union(named)
-        before, bits, first = bits, _with(bits, found.where("hash IS NOT NULL"), size), False
-        if bits is before:
-            return out
+    spark = documents.sparkSession
+    bits, out = None, None
+    now = before = _shared(spark, None)
+    lowered = max(2, 3 * least // (4 * sample))
+    # The sample is mined level by level, as its border holds the next longer phrases; then all texts, until a pass finds
+    # no failure. Nothing that an earlier pass over the sample has seen counts as seen by the passes over all texts.
+    for rows, threshold, name in ((drawn, lowered, False), (texts, least, True)):
+        then, passes = before, 0
+        while name or passes < MOST:
+            found = staged(_counted(rows, now, then, threshold, name, first=passes == 0), "counted" if name else "proposed")
+            passes += 1
+            if name:
+                named = found.where("phrase IS NOT NULL").select("lang", "phrase", "n")
+                out = named if out is None else out.union(named)
+            more = _with(bits, found.where("hash IS NOT NULL"), size)
+            if more is bits:
+                break
+            # Two maps are alive at a time; the files of older ones go.
+            if then is not before:
+                then.destroy()
+            bits, then, now = more, now, _shared(spark, more)
+        if then is not before:
+            then.destroy()
+    return out
 
 
 def collocations(documents: DataFrame, least: int = 30, percent: int = 80, top: int = 2000, sample: int = SAMPLE, size: int = BITS) -> DataFrame:
