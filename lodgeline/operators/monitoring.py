@@ -232,6 +232,15 @@ def alerts(
     )
 
 
+def profile_flags() -> list[Column]:
+    """What a call adds to the counts of its window."""
+    return [
+        F.lit(1).cast("bigint").alias("n"),
+        _flag(F.col("prediction") == 1).cast("bigint").alias("positives"),
+        _flag(F.col("prediction").isNull()).cast("bigint").alias("nulls"),
+    ]
+
+
 def profile_columns() -> list[Column]:
     return [
         F.count("*").alias("n"),

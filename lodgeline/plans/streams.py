@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeline.operators.models import score_linear
-from lodgeline.operators.tables import ensure_columns, upsert
+from lodgeline.operators.tables import ensure_columns
 from lodgeline.plans.bookings import partly_scored
 from lodgeline.plans.logs import SCORED, flat_sql
 from lodgeline.plans.monitoring import PROFILE, rounded
@@ -16,6 +16,7 @@ from lodgeline.plans.registry import query
 from lodgeline.schemas import KEY
 from lodgeline.scratch import scratch_path
 from lodgeline.sources.fixtures import INTERCEPT, LINEAR, Tables, bookings, inference_log, payload
+from lodgeline.sources.storage import read_table, write_table
 from lodgeline.streaming import streams
 
 
@@ -39,8 +40,8 @@ def payload_flatten_stream(t: Tables) -> DataFrame:
 @query("profile_30min_stream", PROFILE)
 def profile_30min_stream(t: Tables) -> DataFrame:
     path, checkpoint = folders(t, "profile")
-    counts = streams.profile_stream(inference_log(stream(t, "events")))
-    return rounded(streams.run_profile(counts, path, checkpoint), "positive_rate", "null_rate")
+    calls = streams.profile_stream(inference_log(stream(t, "events")))
+    return rounded(streams.run_profile(calls, path, checkpoint), "positive_rate", "null_rate")
 
 
 @query("ingest_dedup_stream", "SELECT Booking_ID, lead_time, booking_status FROM bookings")
@@ -57,15 +58,13 @@ def ingest_dedup_stream(t: Tables) -> DataFrame:
 FROM predictions""",
 )
 def score_stream(t: Tables) -> DataFrame:
-    """Unscored bookings are scored as they come, then put into the table."""
+    """A table of bookings, partly scored; the others are scored as they come and put into it batch by batch."""
     path, checkpoint = folders(t, "score")
-    scorer = partial(score_linear, coefficients=LINEAR, intercept=INTERCEPT)
+    scored = partial(score_linear, coefficients=LINEAR, intercept=INTERCEPT)
     names = {"booking_status_pred_custom": "label", "booking_status_proba_custom": "probability"}
     table = partly_scored(t).select(KEY, *[F.col(c).alias(n) for c, n in names.items()])
+    write_table(ensure_columns(table, {"label": "string"}), path, "overwrite", buckets=8)
     arriving = bookings(stream(t, "orders"), t.raw("customer")).select(KEY, *LINEAR)
-    scored = scorer(arriving).select(KEY, "label", "probability")
-    streams.append_to(scored, path, checkpoint).awaitTermination()
-    written = t.spark.read.schema(scored.schema).parquet(path)
-    todo = table.filter(F.col("label").isNull()).select(KEY)
-    merged = upsert(table, written.join(todo, KEY, "left_semi"), KEY)
-    return ensure_columns(merged, {"label": "string"}).withColumn("probability", F.round("probability", 6))
+    scorer = lambda rows: scored(rows).select(KEY, "label", "probability")
+    streams.run_scoring(arriving, scorer, path, checkpoint).awaitTermination()
+    return read_table(t.spark, path).select(KEY, "label", F.round("probability", 6).alias("probability"))

@@ -270,3 +270,63 @@ def test_an_upsert_leaves_no_other_folder(spark, path):
     import pathlib
 
     assert [p.name for p in pathlib.Path(path).parent.iterdir()] == ["table"]
+
+
+# Named tables in key folders
+
+
+def files_of(spark, name) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for f in spark.table(name).inputFiles():
+        folder, file = f.rsplit("/", 2)[1:]
+        out.setdefault(folder, []).append(file)
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_upsert_of_a_named_table_leaves_other_folders_alone(spark):
+    name = "bucketed"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    many = spark.range(200).selectExpr("concat('k', id) AS Booking_ID", "CAST(id AS INT) AS v")
+    storage.write_table(many, name, "overwrite", buckets=8)
+    assert storage.bucket_count(spark, name) == 8 and "key_bucket" not in storage.read_table(spark, name).columns
+    before = files_of(spark, name)
+    source = spark.createDataFrame([("k7", 1000, "x"), ("new", 1, "y")], "Booking_ID string, v int, extra string")
+    touched = {f"key_bucket={r[0]}" for r in storage.with_bucket(source, "Booking_ID", 8).select("key_bucket").collect()}
+    storage.write_table(source, name, "upsert")
+    after = files_of(spark, name)
+    assert {k for k in before if before[k] != after[k]} == touched
+    got = storage.read_table(spark, name)
+    assert got.count() == 201 and rows(got.filter("extra IS NOT NULL")) == [("k7", 1000, "x"), ("new", 1, "y")]
+    storage.write_table(many.filter("v < 3").selectExpr("concat('m', v) AS Booking_ID", "v"), name, "append")
+    assert storage.read_table(spark, name).count() == 204
+    with pytest.raises(ValueError):
+        storage.write_table(many, name, "append", buckets=3)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_upsert_fills_an_empty_key_folder_of_a_named_table(spark):
+    name = "bucketed_small"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    storage.write_table(spark.createDataFrame([("a", 1)], "Booking_ID string, v int"), name, "upsert", buckets=8)
+    storage.write_table(spark.createDataFrame([(f"b{i}", i) for i in range(30)], "Booking_ID string, v int"), name, "upsert")
+    assert storage.read_table(spark, name).count() == 31 and len(files_of(spark, name)) == 8
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_folder_left_aside_is_put_back(spark, path):
+    import os
+
+    many = spark.range(100).selectExpr("concat('k', id) AS Booking_ID", "CAST(id AS INT) AS v")
+    storage.write_table(many, path, "overwrite", buckets=4)
+    os.makedirs(f"{path}__old")
+    os.rename(f"{path}/key_bucket=1", f"{path}__old/key_bucket=1")  # a crash between the two renames
+    storage.write_table(spark.createDataFrame([("k5", -5)], many.schema), path, "upsert")
+    assert storage.read_table(spark, path).count() == 100
+    assert rows(storage.read_table(spark, path).filter("v < 0")) == [("k5", -5)]
+
+
+def test_markers_alone_are_no_table(spark, path):
+    spark.range(4, 5).write.json(f"{path}/_key_buckets")
+    assert not storage.table_exists(spark, path)
+    storage.write_table(spark.createDataFrame([("a", 1)], "Booking_ID string, v int"), path, "upsert", buckets=4)
+    assert rows(storage.read_table(spark, path)) == [("a", 1)] and storage.bucket_count(spark, path) == 4
