@@ -58,6 +58,11 @@ def utc_wall(instant: str | Column) -> Column:
     return ntz(EPOCH) + F.make_dt_interval(secs=seconds)
 
 
+def utc_day(df: DataFrame, ts: str) -> Column:
+    """Day of a timestamp in UTC, whatever the session's zone; zoneless timestamps are taken in UTC."""
+    return F.to_date(utc_wall(ts) if isinstance(df.schema[ts].dataType, T.TimestampType) else col(ts))
+
+
 def epoch_ms(df: DataFrame, ts: str) -> Column:
     """Epoch milliseconds with the sub-second part cut off."""
     if isinstance(df.schema[ts].dataType, T.TimestampNTZType):

@@ -6,14 +6,18 @@ back to the caller.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lodgeline.operators import models
+from lodgeline.functions.columns import utc_day
+from lodgeline.operators import models, tracking
 from lodgeline.operators.cleaning import clean
 from lodgeline.operators.payload import flatten
 from lodgeline.operators.tables import ensure_columns, unseen, verdict
@@ -21,7 +25,7 @@ from lodgeline.schemas import KEY, Roles
 from lodgeline.scratch import scratch_path
 from lodgeline.sources.storage import read_bookings_csv, read_table, row_count, save_sets, table_exists, write_table
 
-REGISTRY = "model_name string, version bigint, status string, alias string, path string, f1_score double"
+REQUEST_DATE = "request_date"
 
 
 @dataclass(frozen=True)
@@ -34,7 +38,7 @@ class Written:
     verdict: str
 
 
-def audited_write(df: DataFrame, name: str, mode: str, key: str = KEY) -> Written:
+def audited_write(df: DataFrame, name: str, mode: str, key: str = KEY, partition_by: str | None = None) -> Written:
     """Write and audit.
 
     The rows are staged in the shared folder first, so they are computed once, and all counts read file footers only.
@@ -46,7 +50,7 @@ def audited_write(df: DataFrame, name: str, mode: str, key: str = KEY) -> Writte
     df.write.parquet(staging)
     incoming_rows = spark.read.schema(df.schema).parquet(staging)
     incoming = incoming_rows.count()
-    write_table(incoming_rows, name, mode, key)
+    write_table(incoming_rows, name, mode, key, partition_by=partition_by)
     after = row_count(spark, name)
     word = spark.range(1).select(verdict(F.lit(before), F.lit(after), mode)).first()[0]
     return Written(before, incoming, after, word)
@@ -67,13 +71,38 @@ def prepare_sets(
     save_sets(train, held_out if job_type == "training" else rows, names, inference_name, job_type, mode)
 
 
+def days_of(payload: DataFrame, time_column: str = "request_time") -> list[date | None]:
+    """The days of a request log, in UTC: at most one value for each day it spans. Only the times are read."""
+    return [r[0] for r in payload.select(utc_day(payload, time_column).alias("d")).distinct().collect()]
+
+
+def on_days(days: list[date | None], column: str = REQUEST_DATE) -> Column:
+    """Whether a row lies on one of the days; a filter on a partition column that leaves out whole folders."""
+    there = F.col(column).isin([d for d in days if d is not None])
+    return there | F.col(column).isNull() if None in days else there
+
+
+def stored_requests(spark: SparkSession, name: str, days: list[date | None], like: DataFrame) -> DataFrame:
+    """Day, id and position of the stored requests of these days; other days' folders are not read."""
+    keys = [REQUEST_DATE, "request_id", "pos"]
+    held = read_table(spark, name, T.StructType([like.schema[k] for k in keys]))
+    return held.select(*keys).filter(on_days(days))
+
+
 def refresh_monitoring(payload: DataFrame, name: str, model_name: str, keep_failed: bool = False) -> Written:
-    """Append the requests the monitoring table does not hold yet; an empty log changes nothing."""
+    """Append the requests the monitoring table does not hold yet; an empty log changes nothing.
+
+    The table is laid out in folders by the day of the request, in UTC. A refresh reads only the folders of its own days,
+    however long the history is; a late request of an old day is matched in the folder of that day. A request's time
+    belongs to its id.
+    """
     spark = payload.sparkSession
     flat = flatten(payload, keep_failed, model_name=model_name)
+    flat = flat.withColumn(REQUEST_DATE, utc_day(flat, "timestamp"))
     if table_exists(spark, name):
-        flat = unseen(read_table(spark, name), flat, ["request_id", "pos"])
-    return audited_write(flat, name, "append")
+        held = stored_requests(spark, name, days_of(payload), flat)
+        flat = unseen(held, flat, [REQUEST_DATE, "request_id", "pos"])
+    return audited_write(flat, name, "append", partition_by=REQUEST_DATE)
 
 
 def score_table(
@@ -86,16 +115,31 @@ def score_table(
     return audited_write(scored.select(*table.columns), name, "upsert", key)
 
 
+def score_with_registered(
+    spark: SparkSession, registry_name: str, model_name: str, df: DataFrame
+) -> DataFrame:
+    """Rows with the answers of the version to serve, once they fit what it was fitted on; see `tracking.conform`."""
+    path = champion_path(spark, registry_name, model_name)
+    if path is None:
+        raise ValueError(f"no version of {model_name} is registered in {registry_name}")
+    return models.score(PipelineModel.load(path), tracking.conform(df, tracking.recorded_schema(spark, _schema_path(path))))
+
+
 def champion_path(spark: SparkSession, registry_name: str, model_name: str) -> str | None:
     """Path of the version to serve, or None before the first."""
     if not table_exists(spark, registry_name):
         return None
-    registry = read_table(spark, registry_name)
+    events = read_table(spark, registry_name).filter(F.col("model_name") == model_name)
+    registry = tracking.registry_of(events)
     latest = models.registry_latest(registry, model_name)
     found = registry.join(latest, ["model_name", "version"], "left_semi").first()
     return found["path"] if found else None
 
 
+def _schema_path(model_path: str) -> str:
+    return f"{model_path}__input_schema"
+
+
 def train_and_register(
     train: DataFrame,
     test: DataFrame,
@@ -104,8 +148,13 @@ def train_and_register(
     registry_name: str,
     roles: Roles = Roles(),
     params: Mapping[str, float] | None = None,
+    runs_name: str | None = None,
 ) -> dict:
-    """Fit, compare with the champion on the test rows, and register if at least as good."""
+    """Fit, compare with the champion on the test rows, and register if at least as good.
+
+    The schema of the features is kept beside the model. With `runs_name`, the run's parameters, metrics and the
+    fingerprint of its training rows are added to that table.
+    """
     spark = train.sparkSession
     challenger = models.fit_lr(train, roles, **(params or {}))
     scored = models.score(challenger, test).withColumnRenamed("label", "challenger")
@@ -114,30 +163,18 @@ def train_and_register(
         scored = models.score(PipelineModel.load(path), scored.drop("prediction", "probability"))
         scored = scored.withColumnRenamed("label", "champion")
     gate = models.champion_gate(scored, roles.target, "challenger", "champion" if path else None).first()
+    event_id = uuid.uuid4().hex
+    if runs_name:
+        metrics = models.weighted_metrics(scored, roles.target, "challenger")
+        settings = {k: str(v) for k, v in (params or {}).items()}
+        version = tracking.input_version(train)
+        write_table(models.run_log(metrics, event_id, settings, model_name, F.current_timestamp(), version), runs_name, "append")
     if gate["register"]:
-        _register(spark, challenger, model_name, model_folder, registry_name, gate["f1_challenger"])
+        features = [*roles.cat_features, *roles.num_features]
+        path = f"{model_folder}/{model_name}/{event_id}"
+        challenger.write().overwrite().save(path)
+        tracking.record_schema(spark, train.select(*features).schema, _schema_path(path))
+        # The model stands complete before its event names it.
+        event = tracking.version_event(spark.range(1), model_name, event_id, path, gate["f1_challenger"], F.current_timestamp())
+        write_table(event, registry_name, "append")
     return gate.asDict()
-
-
-def _register(
-    spark: SparkSession, model: PipelineModel, name: str, folder: str, registry_name: str, f1: float
-) -> None:
-    """Save the model and give it the next version and the latest alias."""
-    if table_exists(spark, registry_name):
-        registry = read_table(spark, registry_name)
-    else:
-        registry = spark.createDataFrame([], REGISTRY)
-    last = registry.filter(F.col("model_name") == name).agg(F.max("version")).first()[0]
-    version = (last or 0) + 1
-    path = f"{folder}/{name}/{version}"
-    model.write().overwrite().save(path)
-    new = (F.col("model_name") == name) & (F.col("version") == version)
-    rows = models.register_version(ensure_columns(registry, {"path": "string", "f1_score": "double"}), name)
-    rows = rows.withColumns(
-        {
-            "path": F.when(new, F.lit(path)).otherwise(F.col("path")),
-            "f1_score": F.when(new, F.lit(f1)).otherwise(F.col("f1_score")),
-        }
-    )
-    staged = [tuple(r) for r in rows.select("model_name", "version", "status", "alias", "path", "f1_score").collect()]
-    write_table(spark.createDataFrame(staged, REGISTRY), registry_name, "overwrite")

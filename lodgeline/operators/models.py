@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
@@ -9,12 +10,13 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeline.functions.columns import CLASS_INDEX, decode_label, hash_share, key_hash
+from lodgeline.operators.cleaning import require
 from lodgeline.schemas import KEY, TARGET, Roles
 
 # Solver settings and the decision threshold.
@@ -24,6 +26,7 @@ THRESHOLD = 0.5
 LATEST_ALIAS = "latest-model"
 READY = "READY"
 
+MODEL_BYTES = 256 << 20  # a model that is broadcast
 MAX_LEVELS = 10_000  # levels of a column that may reach the driver
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -42,16 +45,6 @@ def split(df: DataFrame, test: float = 0.2, key: str = KEY) -> tuple[DataFrame,
     return df.filter(~held_out), df.filter(held_out)
 
 
-def split_exact(df: DataFrame, test_rows: int, key: str = KEY) -> tuple[DataFrame, DataFrame]:
-    """Split with a given number of test rows, those with the least key hashes.
-
-    The test rows are found as a top-n; the rest is what has no greater claim.
-    """
-    order = [key_hash(key), F.col(key)]
-    test = df.orderBy(*order).limit(test_rows)
-    return df.join(test.select(key), key, "left_anti"), test
-
-
 # Encoding and fit
 
 
@@ -198,6 +191,53 @@ def score_map_in_pandas(df: DataFrame, coefficients: Mapping[str, float], interc
     return df.select(KEY, *columns).mapInPandas(run, schema)
 
 
+#: What a Python model gives: the probability of the second class for each row of a matrix of its columns.
+Predict = Callable[[np.ndarray], np.ndarray]
+
+
+def score_model(df: DataFrame, load: Callable[[], Predict], columns: Sequence[str], batch_size: int = 8192) -> DataFrame:
+    """All rows with the answers of any Python model: prediction, label and probability.
+
+    `load` is called once in each worker process, for instance to unpickle a broadcast model or to read a file that all
+    workers can reach, and returns the model's function. It gets batches of rows with all their numbers; rows with a
+    missing number get null answers. Class and label follow from the probability in the JVM.
+    """
+    require(df, columns)
+
+    def make():
+        predict = load()
+
+        def run(rows: np.ndarray) -> np.ndarray:
+            known = ~np.isnan(rows).any(axis=1)
+            out = np.full(len(rows), np.nan)
+            if known.any():
+                out[known] = np.asarray(predict(rows[known]), dtype="float64").reshape(-1)
+            return out
+
+        return run
+
+    model = predict_batch_udf(make, return_type=T.DoubleType(), batch_size=batch_size, input_tensor_shapes=[[len(columns)]])
+    # A null would come as a missing value of its own; NaN is one for every model.
+    cells = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns]
+    scored = df.withColumn("_probability", model(F.array(*cells)))
+    known = F.when(~F.isnan("_probability"), F.col("_probability"))
+    return scored.withColumns(_answers(known)).drop("_probability")
+
+
+def broadcast_model(spark: SparkSession, model: object, predict: Callable[[object, np.ndarray], np.ndarray]) -> Callable[[], Predict]:
+    """A loader for `score_model` of a model that is sent to every worker once, of `MODEL_BYTES` pickled bytes at most."""
+    size = len(pickle.dumps(model))
+    if size > MODEL_BYTES:
+        raise ValueError(f"a model of {size} bytes is too large to be broadcast; let `load` read it from a shared folder")
+    shared = spark.sparkContext.broadcast(model)
+
+    def load() -> Predict:
+        own = shared.value
+        return lambda rows: predict(own, rows)
+
+    return load
+
+
 def score_incremental(
     table: DataFrame, scorer: Scorer, prediction: str, proba: str, key: str = KEY
 ) -> DataFrame:
@@ -275,7 +315,14 @@ def champion_gate(df: DataFrame, label: str, challenger: str, champion: str | No
 
 
 def registry_latest(registry: DataFrame, name: str | None = None) -> DataFrame:
-    """Version to serve per model: the one with the latest alias, else the greatest ready one."""
+    """Version to serve per model: the one with the latest alias, else the greatest ready one.
+
+    `registry` has the versions, or the events of `tracking.registry_of`.
+    """
+    if "event_id" in registry.columns and "version" not in registry.columns:
+        from lodgeline.operators.tracking import registry_of
+
+        registry = registry_of(registry)
     rows = registry if name is None else registry.filter(F.col("model_name") == name)
     aliased = F.max(F.when(F.col("alias") == LATEST_ALIAS, F.col("version")))
     ready = F.max(F.when(F.col("status") == READY, F.col("version")))
@@ -300,8 +347,10 @@ def register_version(registry: DataFrame, name: str, status: str = READY) -> Dat
     return registry.withColumn("alias", F.when(~F.coalesce(holds, F.lit(False)), F.col("alias"))).unionByName(new, allowMissingColumns=True)
 
 
-def run_log(metrics: DataFrame, run_id: str, params: Mapping[str, str], source: str, as_of: Column) -> DataFrame:
-    """One row of a run: its parameters, metrics and input table."""
+def run_log(
+    metrics: DataFrame, run_id: str, params: Mapping[str, str], source: str, as_of: Column, source_version: str | None = None
+) -> DataFrame:
+    """One row of a run: its parameters, metrics, input table and the version of what was in it."""
     names = [c for c in metrics.columns]
     pairs = F.create_map(*[p for c in names for p in (F.lit(c), F.col(c).cast("double"))])
     settings = F.create_map(*[F.lit(x) for kv in params.items() for x in kv])
@@ -309,12 +358,13 @@ def run_log(metrics: DataFrame, run_id: str, params: Mapping[str, str], source:
         F.lit(run_id).alias("run_id"),
         as_of.alias("logged_at"),
         F.lit(source).alias("source"),
+        F.lit(source_version).cast("string").alias("source_version"),
         settings.alias("params"),
         pairs.alias("metrics"),
     )
 
 
-# Input checks and samples
+# Input checks
 
 
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
@@ -346,20 +396,3 @@ def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
         ]
     )
     return wide.select(F.inline(rows))
-
-
-def sample_n(df: DataFrame, n: int, replace: bool = True, seed: int = 42) -> DataFrame:
-    """Exactly `n` rows, each drawn uniformly.
-
-    Every row is drawn a Poisson number of times, somewhat more than needed in all. Given their
-    number, the draws are independent and uniform, and so are the `n` taken from them at random.
-    """
-    if not replace:
-        return df.orderBy(F.rand(seed)).limit(n)
-    total = df.count()
-    if total == 0 or n == 0:
-        return df.limit(0)
-    fraction = (n + 6 * n**0.5 + 20) / total
-    drawn = df.sample(withReplacement=True, fraction=fraction, seed=seed)
-    return drawn.orderBy(F.rand(seed)).limit(n)
-

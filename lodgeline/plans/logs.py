@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgeline import jobs
 from lodgeline.operators import payload as ops
 from lodgeline.operators.tables import append_unseen
 from lodgeline.plans.registry import query
 from lodgeline.schemas import FEATURES
+from lodgeline.scratch import scratch_path
 from lodgeline.sources.fixtures import Tables, payload
+from lodgeline.sources.storage import read_table
 
 SENT = ("lead_time", "avg_price_per_room", "market_segment_type", "no_of_children")
 TYPES = {c: "VARCHAR" if c in FEATURES[-3:] else "DOUBLE" if c == "avg_price_per_room" else "INT" for c in FEATURES}
@@ -68,3 +71,12 @@ def payload_incremental(t: Tables) -> DataFrame:
     first = ops.flatten(payload(t.events.filter(F.col("event_id") % 3 == 0)), model_name="lr-basic")
     again = ops.flatten(payload(t.events), model_name="lr-basic")
     return append_unseen(first, again, ["request_id", "pos"])
+
+
+@query("monitoring_refresh", f"SELECT *, CAST(timestamp AS DATE) AS request_date FROM ({flat_sql(where=SCORED)}) f")
+def monitoring_refresh(t: Tables) -> DataFrame:
+    """A stored table in folders by day, refreshed with a third of the log, then with all of it, then again."""
+    path = scratch_path(t.spark, "monitoring")
+    for events in (t.events.filter(F.col("event_id") % 3 == 0), t.events, t.events):
+        jobs.refresh_monitoring(payload(events), path, "lr-basic")
+    return read_table(t.spark, path)

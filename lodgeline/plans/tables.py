@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +70,15 @@ def write_upsert(t: Tables) -> DataFrame:
     return storage.read_table(t.spark, path)
 
 
+@query("write_upsert_named", f"WITH t AS ({OLD}), s AS ({NEW}) {MERGED}")
+def write_upsert_named(t: Tables) -> DataFrame:
+    """The same into a table of the catalog, which rewrites the key folders of the source only."""
+    name = f"lodgeline_{uuid.uuid4().hex}"
+    storage.write_table(old_part(t), name, "overwrite", buckets=16)
+    storage.write_table(new_part(t), name, "upsert")
+    return storage.read_table(t.spark, name)
+
+
 @query(
     "schema_evolve_union",
     f"""SELECT {SMALL}, CAST(NULL AS VARCHAR) AS channel FROM bookings WHERE {H} < '80000000'

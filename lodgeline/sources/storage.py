@@ -95,8 +95,11 @@ def _create_or_append(df: DataFrame, name: str, mode: str, key: str, buckets: in
         buckets = stored
     if buckets:
         df, folders = with_bucket(df, key, buckets).hint("rebalance", KEY_BUCKET), [KEY_BUCKET]
+    elif partition_by:
+        # Rows of a folder meet before the write, so that it gets few files; AQE splits a large folder.
+        df, folders = df.hint("rebalance", partition_by), [partition_by]
     else:
-        folders = [partition_by] if partition_by else []
+        folders = []
     if not is_path(name):
         if appended:
             _evolve(df, name).write.insertInto(name)

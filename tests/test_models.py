@@ -10,8 +10,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodgeline.operators import draws, synth, tracking
 from lodgeline.operators import models as ops
-from lodgeline.operators import synth
 from lodgeline.schemas import CAT_FEATURES, FEATURES, NUM_FEATURES, Roles, type_of
 
 
@@ -41,7 +41,7 @@ def test_split_covers_all_rows_whatever_the_partitioning(train):
 
 
 def test_exact_split(train):
-    a, b = ops.split_exact(train, 37)
+    a, b = draws.split_exact(train, 37)
     assert b.count() == 37 and a.count() == 363
 
 
@@ -177,9 +177,9 @@ def test_schema_check_counts_lost_values(spark):
 
 def test_sample_has_exactly_n_rows(spark):
     df = spark.range(50)
-    assert ops.sample_n(df, 100).count() == 100
-    assert ops.sample_n(df, 20, replace=False).distinct().count() == 20
-    assert ops.sample_n(df.limit(0), 5).count() == 0
+    assert draws.sample_n(df, 100).count() == 100
+    assert draws.sample_n(df, 20, replace=False).distinct().count() == 20
+    assert draws.sample_n(df.limit(0), 5).count() == 0
 
 
 # Synthetic bookings
