@@ -16,6 +16,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodgeline.llm.common import mixed, staged, text_column, word_hashes
+from lodgeline.llm.common import mixed, staged, text_column
 
 #: Words of the longest phrases.
 MOST = 4
@@ -33,70 +35,121 @@ SAMPLE = 16
 #: Bits of the map of proposals: 2**27 bits are 16 MB.
 BITS = 27
 #: Bytes of text that are worked on at once.
-PART = 2_000_000
+PART = 1_000_000
 #: Counts a task holds before it sends them on.
-HELD = 3_000_000
-NAMED = 400_000
+HELD = 1_000_000
+NAMED = 100_000
 
-_MARK = b"\xff"  # no byte of UTF-8
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[list(b" \t\n")] = False
+#: Hash of a byte, and the base of a word's polynomial hash, which is odd and so has an inverse among 64-bit numbers.
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 2**64)
 
 
-def _parts(text: bytes) -> Iterator[tuple[list[bytes], int]]:
-    """Words of a text with a mark between pieces, in parts, and how many of them the part before has shown."""
-    text = text.lower().translate(_PIECES).replace(b"\n", b" " + _MARK + b" ")
-    start, carried = 0, []
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(n - 1, base, np.uint64))])
+
+
+class Slice(NamedTuple):
+    """Prepared bytes of several texts, or of a part of a long one.
+
+    For each text: where it starts, where what earlier slices have not shown starts, and the number of its language.
+    """
+
+    data: bytes
+    starts: list[int]
+    fresh: list[int]
+    langs: list[int]
+    names: list[str]
+
+
+def _parts(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """A text with pieces ending at line feeds, in parts, and how many bytes of each the part before has shown.
+
+    A part ends at a blank, and the next one starts with its last words, so that no phrase is lost.
+    """
+    text = text.lower().translate(_PIECES)
+    start = shown = 0
     while True:
-        end = text.find(b" ", start + PART)
-        own = text[start:].split() if end < 0 else text[start:end].split()
-        yield carried + own, len(carried)
+        end = text.find(b" ", start + shown + PART)
         if end < 0:
+            yield text[start:], shown
             return
-        carried, start = (carried + own)[-(MOST - 1) :], end
+        yield text[start:end], shown
+        back = end
+        for _ in range(MOST - 1):
+            # Back over blanks, then over a word.
+            back = start + len(text[start:back].rstrip(b" \t\n"))
+            back = max(start, *(text.rfind(c, start, back) + 1 for c in (b" ", b"\t", b"\n")))
+        start, shown = back, end - back
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, list[str], np.ndarray]]:
-    """Words of several texts, whether each is shown for the first time, the languages met and the words' languages."""
-    tokens: list[bytes] = []
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+    held: list[bytes] = []
     spans: list[tuple[int, int, str]] = []
     size = 0
 
-    def cut():
+    def cut() -> Slice:
         names = sorted({lang for _, _, lang in spans})
         number = {lang: k for k, lang in enumerate(names)}
-        lengths = [n for n, _, _ in spans]
-        fresh = np.ones(len(tokens), bool)
-        for at, (_, shown, _) in zip(np.cumsum([0, *lengths[:-1]]), spans):
-            fresh[at : at + shown] = False
-        return tokens, fresh, names, np.repeat(np.array([number[lang] for _, _, lang in spans]), lengths)
+        return Slice(b"\n".join([*held, b""]), [a for a, _, _ in spans], [a + n for a, n, _ in spans], [number[lang] for _, _, lang in spans], names)
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for words, shown in _parts(text.as_py()):
-                tokens += words
-                tokens.append(_MARK)
-                spans.append((len(words) + 1, shown, lang))
-                size += sum(map(len, words)) + len(words)
+            for part, shown in _parts(text.as_py()):
+                spans.append((size, shown, lang))
+                held.append(part)
+                size += len(part) + 1
                 if size >= PART:
                     yield cut()
-                    tokens, spans, size = [], [], 0
-    if tokens:
+                    held, spans, size = [], [], 0
+    if held:
         yield cut()
 
 
-def _levels(tokens: list[bytes], fresh: np.ndarray, names: list[str], langs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class Words(NamedTuple):
+    """Starts, ends, hashes, pieces and languages of a slice's words, and whether they are shown for the first time."""
+
+    start: np.ndarray
+    end: np.ndarray
+    hash: np.ndarray
+    piece: np.ndarray
+    lang: np.ndarray
+    fresh: np.ndarray
+
+
+def _words(s: Slice) -> Words:
+    """The words, found and hashed over all bytes at once.
+
+    A word's hash is the sum of its bytes' hashes times powers of a base: a difference of running sums, brought back
+    to the power zero by the inverse. Its length is mixed in.
+    """
+    data = np.frombuffer(s.data, np.uint8)
+    inside = np.concatenate([[False], _IN_WORD[data], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edges[::2], edges[1::2]
+    size = max(1 << (len(data)).bit_length(), 2)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * _powers(_BASE, size)[: len(data)])])
+    h = mixed((sums[end] - sums[start]) * _powers(_INVERSE, size)[start] + (end - start).astype(np.uint64))
+    piece = np.cumsum(data == 10)[start]
+    text = np.searchsorted(np.array(s.starts), start, side="right") - 1
+    return Words(start, end, h, piece, np.array(s.langs)[text], start >= np.array(s.fresh)[text])
+
+
+def _levels(w: Words, names: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For 1 to MOST words: the hash of the phrase from each word on, and whether it is one and is not shown before."""
-    h = word_hashes(tokens)
-    inside = h != xxhash.xxh3_64_intdigest(_MARK)
-    seeds = np.array([xxhash.xxh3_64_intdigest(name, seed=1) for name in names], np.uint64)
+    seeds = np.array([xxhash.xxh3_64_intdigest(name) for name in names], np.uint64)
     # A phrase's hash comes from that of the phrase without its last word, so its length and order are in it.
-    found, whole = mixed(h ^ seeds[langs]), inside
-    yield found, whole & fresh
+    found = mixed(w.hash ^ seeds[w.lang])
+    yield found, w.fresh
     for k in range(1, MOST):
-        n = max(len(h) - k, 0)
-        found = mixed(found[:n] + mixed(h[k:] + np.uint64(k)))
-        whole = whole[:n] & inside[k:]
-        yield found, whole & fresh[k:]
+        n = max(len(w.hash) - k, 0)
+        found = mixed(found[:n] + mixed(w.hash[k:] + np.uint64(k)))
+        yield found, (w.piece[:n] == w.piece[k:]) & w.fresh[k:]
 
 
 def _has(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
@@ -170,9 +223,10 @@ def _counted(texts: DataFrame, shared: Broadcast, earlier: Broadcast, least: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, then = _opened(shared), _opened(earlier)
         border, named = _Border(), defaultdict(Counter)
-        for tokens, fresh, names, langs in _slices(batches):
+        for part in _slices(batches):
             known = known_then = None
-            for k, (h, whole) in enumerate(_levels(tokens, fresh, names, langs), 1):
+            w, names = _words(part), part.names
+            for k, (h, whole) in enumerate(_levels(w, names), 1):
                 open_now = _joined(known, len(h))
                 # Before the first pass nothing was counted; after it words have all been.
                 open_then = np.zeros(len(h), bool) if first else _joined(known_then, len(h))
@@ -180,13 +234,16 @@ def _counted(texts: DataFrame, shared: Broadcast, earlier: Broadcast, least: int
                 todo = np.flatnonzero(whole & open_now & known & ~(open_then & known_then)) if name else ()
                 if len(todo):
                     _, at, n = np.unique(h[todo], return_index=True, return_counts=True)
-                    for i, c in zip(todo[at].tolist(), n.tolist()):
-                        named[names[langs[i]]][b" ".join(tokens[i : i + k])] += c
+                    at = todo[at]
+                    places = zip(w.lang[at].tolist(), w.start[at].tolist(), w.end[at + k - 1].tolist(), n.tolist())
+                    for lang, a, b, c in places:
+                        phrase = part.data[a:b]
+                        named[names[lang]][phrase if k == 1 else b" ".join(phrase.split())] += c
                 new = h[whole & open_now & ~open_then & ~known]
                 if len(new) and border.add(new):
                     yield from border.take()
                 if first and name and k == 1:
-                    for lang, n in zip(names, np.bincount(langs[whole], minlength=len(names)).tolist()):
+                    for lang, n in zip(names, np.bincount(w.lang[whole], minlength=len(names)).tolist()):
                         named[lang][b""] += n
             if sum(map(len, named.values())) > NAMED:
                 yield from _named_rows(named)
@@ -195,6 +252,9 @@ def _counted(texts: DataFrame, shared: Broadcast, earlier: Broadcast, least: int
         yield from border.take()
 
     rows = texts.mapInArrow(run, "lang string, phrase string, hash long, n long")
+    # A task has added up what it met, and most of the border is met once: adding up again before the shuffle only
+    # fills memory. So rows are dealt by their key first.
+    rows = rows.repartition("lang", "phrase", "hash")
     counts = rows.groupBy("lang", "phrase", "hash").agg(F.sum("n").alias("n"))
     return counts.where((F.col("n") >= least) | (F.col("phrase") == ""))
 

@@ -82,15 +82,25 @@ def test_long_texts_are_read_in_parts(spark, monkeypatch):
     counts, _ = grams(docs)
     for k in range(1, 5):
         total = Counter()
-        for tokens, fresh, names, langs in phrases._slices(iter([batch])):
-            _, whole = list(phrases._levels(tokens, fresh, names, langs))[k - 1]
+        for part in phrases._slices(iter([batch])):
+            w = phrases._words(part)
+            _, whole = list(phrases._levels(w, part.names))[k - 1]
             for i in np.flatnonzero(whole):
-                total[names[langs[i]], tuple(w.decode() for w in tokens[i : i + k])] += 1
+                phrase = part.data[w.start[i] : w.end[i + k - 1]].split()
+                total[part.names[w.lang[i]], tuple(x.decode() for x in phrase)] += 1
         assert total == Counter({(lang, p): n for lang, own in counts.items() for p, n in own.items() if len(p) == k})
     monkeypatch.undo()
     assert found(spark, docs, least=5) == want
 
 
+def test_hashes_tell_words_apart():
+    words = [f"w{k}" for k in range(3000)] + ["a" * k for k in range(1, 300)] + ["ab", "ba", "\x00", "\x00\x00"]
+    part = phrases.Slice((" ".join(words * 2) + "\n").encode(), [0], [0], [0], ["en"])
+    w = phrases._words(part)
+    assert len(w.hash) == 2 * len(words) and len(set(w.hash.tolist())) == len(words)
+    assert (w.hash[: len(words)] == w.hash[len(words) :]).all()
+
+
 def test_odd_rows(spark):
     docs = [(1, None, "en"), (2, "", None), (3, " \t\n.,", "en"), (None, "b a " * 20, None), (None, "b a " * 20, "und")]
     docs += [(4, "The end. " * 7, "en")] * 6
