@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from lodgeline.functions.columns import bin_width
 from lodgeline.operators.quantiles import exact_quantiles
 from lodgeline.operators.shares import with_share, with_totals
 from lodgeline.schemas import CANCELED, CAT_FEATURES, KEY, NOT_CANCELED, NUM_FEATURES, TARGET
+from lodgeline.scratch import scratch_path
 
 # The axes a report user can choose from, in their order.
 AXES = (
@@ -21,6 +23,8 @@ AXES = (
     "arrival_month",
     "arrival_year",
 )
+#: Dimensions from which on a path is added up depth by depth.
+LONG_PATH = 6
 DATE_LEVELS = ("year", "quarter", "month", "day")
 
 
@@ -135,6 +139,28 @@ def _rolled_up(grouped: DataFrame, path: Sequence[str], *totals: Column) -> Data
     return rolled.withColumn("bookings", F.coalesce(F.get("_all", F.col("level")), F.lit(0))).drop("_all")
 
 
+def _cascaded(grouped: DataFrame, path: Sequence[str]) -> DataFrame:
+    """Level, path and bookings of every depth, each depth added up from the one below it.
+
+    A rollup would copy each group once for every depth before the shuffle. Here a depth reads the groups of the next
+    depth only, which get fewer on the way up; each depth is written, so none is computed twice.
+    """
+    spark, below, levels = grouped.sparkSession, grouped, []
+    for depth in range(len(path), -1, -1):
+        if depth < len(path):
+            # Firsts of deeper prefixes are of no more use.
+            firsts = [F.sum(F.col("_firsts")[d]).alias(f"_f{d}") for d in range(depth + 1)]
+            summed = below.groupBy(*path[:depth]).agg(*firsts)
+            below = summed.select(*path[:depth], F.array(*[f"_f{d}" for d in range(depth + 1)]).alias("_firsts"))
+        place = scratch_path(spark, "levels")
+        below.write.parquet(place)
+        below = spark.read.schema(below.schema).parquet(place)
+        hidden = [F.lit(None).cast(grouped.schema[c].dataType).alias(c) for c in path[depth:]]
+        bookings = F.coalesce(F.get("_firsts", F.lit(depth)), F.lit(0).cast("bigint")).alias("bookings")
+        levels.append(below.select(F.lit(depth).cast("int").alias("level"), *path[:depth], *hidden, bookings))
+    return reduce(DataFrame.unionAll, levels)
+
+
 def matrix(df: DataFrame, outer: str, inner: str, proba: str) -> DataFrame:
     """Distinct bookings and mean probability per outer and inner value, with subtotals and total.
 
@@ -188,8 +214,14 @@ def key_drivers(
 
 
 def decompose(df: DataFrame, path: Sequence[str]) -> DataFrame:
-    """Distinct bookings along an ordered path of dimensions, at every depth of the path."""
-    return _rolled_up(_per_path(df, path), path).select("level", *path, "bookings")
+    """Distinct bookings along an ordered path of dimensions, at every depth of the path.
+
+    Long paths have nearly as many groups as bookings; they are added up depth by depth instead of rolled up at once.
+    """
+    grouped = _per_path(df, path)
+    if len(path) > LONG_PATH:
+        return _cascaded(grouped, path)
+    return _rolled_up(grouped, path).select("level", *path, "bookings")
 
 
 def decompose_topk(df: DataFrame, path: Sequence[str], k: int = 4) -> DataFrame:

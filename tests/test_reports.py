@@ -169,3 +169,20 @@ def test_prediction_reports_over_repeated_bookings(spark):
 def test_reservation_day_feeds_the_hierarchy(facts):
     dated = cleaning.arrival_dates(facts.withColumns({"arrival_year": F.lit(2024), "arrival_month": F.lit(1)}))
     assert ops.date_hierarchy(dated).filter("level = 4").agg(F.sum("bookings")).first()[0] == 3
+
+
+def test_long_paths_are_added_up_without_copies(spark, monkeypatch):
+    rng = random.Random(3)
+    path = [f"d{k}" for k in range(7)]
+    data = [(f"b{rng.randrange(60)}" if rng.random() < 0.9 else None, *[rng.choice([None, 1, 2]) for _ in path]) for _ in range(150)]
+    df = spark.createDataFrame(data, "Booking_ID string, " + ", ".join(f"{c} int" for c in path))
+    out = ops.decompose(df, path)
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(ops, "LONG_PATH", 99)
+    assert rows(out) == rows(ops.decompose(df, path))
+    want = {}
+    for key, *values in data:
+        for depth in range(len(path) + 1):
+            want.setdefault((depth, *values[:depth], *[None] * (len(path) - depth)), set()).add(key)
+    assert rows(out) == sorted(((*k, len(v)) for k, v in want.items()), key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert rows(ops.decompose(df.limit(0), path)) in ([], [(0, *[None] * 7, 0)])
