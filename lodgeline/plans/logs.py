@@ -80,3 +80,16 @@ def monitoring_refresh(t: Tables) -> DataFrame:
     for events in (t.events.filter(F.col("event_id") % 3 == 0), t.events, t.events):
         jobs.refresh_monitoring(payload(events), path, "lr-basic")
     return read_table(t.spark, path)
+
+
+@query(
+    "refresh_of_empty_log",
+    f"SELECT 'no new rows' AS verdict, CAST(0 AS BIGINT) AS incoming, count(*) AS n_before, count(*) AS n_after FROM ({flat_sql(where=SCORED)}) f",
+)
+def refresh_of_empty_log(t: Tables) -> DataFrame:
+    """A refresh without new requests changes nothing."""
+    path = scratch_path(t.spark, "monitoring")
+    jobs.refresh_monitoring(payload(t.events), path, "lr-basic")
+    done = jobs.refresh_monitoring(payload(t.events.filter(F.col("event_id") < 0)), path, "lr-basic")
+    columns = "verdict string, incoming long, n_before long, n_after long"
+    return t.spark.createDataFrame([(done.verdict, done.incoming, done.before, done.after)], columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,3 +170,44 @@ WHERE rn = 1""",
 )
 def latest_per_key(t: Tables) -> DataFrame:
     return ops.latest_per_key(t.events.select("user_id", "event_id", "ts", "value"), "user_id", "ts")
+
+
+@query(
+    "table_probe",
+    """SELECT 'stored by path' AS name, TRUE AS found, count(*) AS n_rows FROM bookings
+UNION ALL SELECT 'stored by name', TRUE, count(*) FROM bookings
+UNION ALL SELECT 'missing path', FALSE, count(*) FILTER (Booking_ID IS NULL) FROM bookings
+UNION ALL SELECT 'missing name', FALSE, count(*) FILTER (Booking_ID IS NULL) FROM bookings""",
+)
+def table_probe(t: Tables) -> DataFrame:
+    """Whether tables exist, and how many rows they have; a missing one counts none."""
+    path, name = scratch_path(t.spark, "probe"), f"lodgeline_{uuid.uuid4().hex}"
+    for place in (path, name):
+        storage.write_table(t.bookings.select(KEY, "lead_time"), place)
+    places = {"stored by path": path, "stored by name": name, "missing path": f"{path}-none", "missing name": f"{name}_none"}
+    rows = [(k, storage.table_exists(t.spark, p), storage.row_count(t.spark, p)) for k, p in places.items()]
+    return t.spark.createDataFrame(rows, "name string, found boolean, n_rows long")
+
+
+@query(
+    "write_modes",
+    f"""WITH t AS ({OLD}), s AS ({NEW}), m AS ({MERGED})
+SELECT 'overwrite' AS mode, 'written' AS outcome, count(*) AS n_rows, CAST(sum(lead_time) AS BIGINT) AS lead_times FROM s
+UNION ALL SELECT 'append', 'written', count(*), CAST(sum(lead_time) AS BIGINT) FROM (SELECT * FROM t UNION ALL SELECT * FROM s)
+UNION ALL SELECT 'upsert', 'written', count(*), CAST(sum(lead_time) AS BIGINT) FROM m
+UNION ALL SELECT 'replace', 'refused', count(*), CAST(sum(lead_time) AS BIGINT) FROM t""",
+)
+def write_modes(t: Tables) -> DataFrame:
+    """The same rows written over the same table in every mode, and in one that there is not."""
+    parts = []
+    for mode in (*storage.MODES, "replace"):
+        path = scratch_path(t.spark, f"mode-{mode}")
+        storage.write_table(old_part(t), path)
+        try:
+            storage.write_table(new_part(t), path, mode)
+            outcome = "written"
+        except ValueError:
+            outcome = "refused"
+        total = storage.read_table(t.spark, path).agg(F.count("*").alias("n_rows"), F.sum("lead_time").alias("lead_times"))
+        parts.append(total.select(F.lit(mode).alias("mode"), F.lit(outcome).alias("outcome"), "n_rows", "lead_times"))
+    return reduce(DataFrame.unionAll, parts)
