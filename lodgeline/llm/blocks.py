@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from lodgeline.llm.common import staged
 
 
-def dealt(rows: DataFrame, size: int) -> DataFrame:
+def dealt(rows: DataFrame, size: int, weight: str | None = None) -> DataFrame:
     """`rows` (with key and node) dealt to blocks named by (key, lo, hi), sorted by them.
 
     A key with more than 2 * `size` rows is cut into chunks of about `size`, and each pair of chunks (lo, hi) is a block
-    of its own, so no task needs a whole hot key; `chunk` says which of the two a row belongs to.
+    of its own, so no task needs a whole hot key; `chunk` says which of the two a row belongs to. With `weight`, sizes
+    are sums of that expression.
     """
-    counts = rows.groupBy("key").agg(F.count("*").alias("_size"))
+    counts = rows.groupBy("key").agg((F.sum(F.expr(weight)) if weight else F.count("*")).alias("_size"))
     large = staged(counts.where(F.col("_size") > 2 * size), "large-keys")
     none = F.lit(0)
     if large.isEmpty():

@@ -5,11 +5,11 @@ bins borrow from the non-empty bin that comes first in an order drawn for each b
 sets still agree in a bin with their Jaccard similarity as probability). Bands of bins are bucket keys.
 
 Each bucket of the first bands becomes a star: its members are compared with one centre, on their full sets, and linked
-members are joined to components. Buckets whose members still lie in several components are worked off as blocks of
-signatures: each member outside the block's largest component gets its best partner from another component, and
-after another round of components every pair that still lies apart and could be similar enough by its signatures is
-compared on the full sets, in the first bucket where it meets. So a large group of copies costs a star, and no pair
-that meets in a bucket is lost, be the bucket as large as it may.
+members are joined to components. Buckets whose members still lie in several components are worked off as blocks.
+Signatures tell which members have a partner apart that could be similar enough; only these come again with their full
+sets. Their pairs are compared inside the block, the likeliest first and each in the first bucket where it meets, and a
+pair that is joined already is not compared. A block returns one root for a member and never pairs. So a large group of
+copies costs a star, and no pair that meets in a bucket is lost, be the bucket as large as it may.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ STARS = 8
 #: A pair of similarity 0.75 agrees in a share of its bins smaller by this with a probability of 5e-6, about as rarely
 #: as it meets in no bucket.
 SLACK = 0.12
-#: Members of a chunk of a large bucket.
+#: Members of a chunk of a large bucket. A member that comes with its set counts once more for every 1,024 shingles.
 BLOCK = 1024
 
 
@@ -137,30 +137,33 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(m.join(staged(spread, "open-buckets"), "key"), "open-members")
 
 
-def _signs(texts: DataFrame, size: int) -> DataFrame:
-    """Signature of every node's text, 32 bits a bin."""
+def _sketched(texts: DataFrame, size: int) -> DataFrame:
+    """Signature of every node's text, 32 bits a bin, and its shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signs = [(signature(shingle_set(t.as_py(), size)) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(signs, pa.binary())], ["_node", "signs"])
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                sets = [shingle_set(t.as_py(), size) for t in part.column(1)]
+                signs = [(signature(s) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for s in sets]
+                columns = [part.column(0), pa.array(signs, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.record_batch(columns, ["_node", "signs", "shingles"])
 
-    return texts.select("node", "text").mapInArrow(run, "_node long, signs binary")
+    return texts.select("node", "text").mapInArrow(run, "_node long, signs binary, shingles binary")
 
 
-def _apart(block: pa.Table, percent: int, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block (by row) in different components that could be similar enough.
+def _apart(block: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a block (by row) in different components that could be similar enough, and their share of equal bins.
 
-    With `best_only` the best partner of each member outside the largest component; else every pair that meets in no
-    earlier band.
+    Each pair that meets in no earlier band is there once.
     """
     get = lambda c: block.column(c).to_numpy()
     signs = np.frombuffer(b"".join(block.column("signs").to_pylist()), "<u4").reshape(block.num_rows, BINS)
     component, n, chunk, band = get("component"), get("n"), get("chunk"), int(get("band")[0])
-    names, number, counts = np.unique(component, return_inverse=True, return_counts=True)
+    _, number, counts = np.unique(component, return_inverse=True, return_counts=True)
     largest = int(counts.argmax())
     bands, plausible = BINS // BAND, percent / 100 - SLACK
-    first, second = [], []
+    first, second, shares = [], [], []
     for i in np.flatnonzero(number != largest).tolist():
         others = number != number[i]
         if chunk.min() != chunk.max():
@@ -171,30 +174,80 @@ def _apart(block: pa.Table, percent: int, best_only: bool) -> tuple[np.ndarray,
         at = np.flatnonzero(others)
         same = signs[at] == signs[i]
         agree = same[:, : bands * BAND].mean(axis=1)
-        if best_only:
-            if len(at) and agree.max() >= plausible:
-                first.append(i)
-                second.append(int(at[agree.argmax()]))
-            continue
         keep = agree >= plausible
         if band and keep.any():
             met = same[keep][:, : band * BAND].reshape(-1, band, BAND).all(axis=2).any(axis=1)
             keep[np.flatnonzero(keep)[met]] = False
-        second.extend(at[keep].tolist())
-        first.extend([i] * int(keep.sum()))
-    return np.array(first, np.int64), np.array(second, np.int64)
+        second.append(at[keep])
+        shares.append(agree[keep])
+        first.append(np.full(int(keep.sum()), i))
+    if not first:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return np.concatenate(first), np.concatenate(second), np.concatenate(shares)
 
 
-def _plausible(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
+MEMBER = "key long, band int, node long, n long, component long"
+
+
+def _with_partner(rows: DataFrame, percent: int) -> DataFrame:
+    """The members of blocks that have a plausible partner there, once for each bucket."""
+    names = [c.split()[0] for c in MEMBER.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            i, j = _apart(block, percent, best_only)
+            i, j, _ = _apart(block, percent)
             if len(i):
-                node = block.column("node").to_numpy()
-                a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-                yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+                yield from block.select(names).take(np.union1d(i, j)).to_batches()
+
+    return rows.mapInArrow(run, MEMBER).distinct()
+
+
+def _merged(block: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of a block that are joined to another component there, and the least node of their class."""
+    i, j, agree = _apart(block, percent)
+    node = block.column("node").to_numpy()
+    # Members of one component are one class from the start.
+    _, start = np.unique(block.column("component").to_numpy(), return_inverse=True)
+    parent = list(range(int(start.max()) + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    shingles = block.column("shingles")
+    sets: dict[int, np.ndarray] = {}
+
+    def own(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = np.frombuffer(shingles[k].as_buffer(), np.uint64)
+        return sets[k]
+
+    changed = set()
+    for k in np.argsort(-agree, kind="stable").tolist():
+        a, b = find(start[i[k]]), find(start[j[k]])
+        if a != b and jaccard_reaches(own(int(i[k])), own(int(j[k])), percent):
+            parent[max(a, b)] = min(a, b)
+            changed.update((int(i[k]), int(j[k])))
+    roots = np.array([find(x) for x in range(len(parent))])[start]
+    least = np.full(len(parent), np.iinfo(np.int64).max)
+    at = np.array(sorted(changed), np.int64)
+    # The two ends of each link say which components are one; the others follow by their component.
+    np.minimum.at(least, roots[at], node[at])
+    return node[at], least[roots[at]]
+
+
+def _links(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b: at most one row for each member of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            nodes, roots = _merged(block, percent)
+            if len(nodes):
+                yield pa.record_batch([pa.array(nodes), pa.array(roots)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long").where("a < b").distinct()
+    return rows.mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(documents: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
@@ -222,19 +275,16 @@ def near_duplicates(documents: DataFrame, percent: int = 75, size: int = 5) -> D
     stars = members.where((F.col("band") < STARS) & (F.col("node") != F.col("center")))
     stars = stars.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     labels = components(staged(verified(staged(stars, "pairs"), texts, percent, size), "links"))
-    signs = None
-    for best_only in (True, False):
-        left = _open_members(members, labels)
-        if left.isEmpty():
-            break
-        if signs is None:
-            signs = staged(_signs(texts.join(left.select("node").distinct(), "node", "left_semi"), size), "signs")
-        # Good partners meet in most bands, so the best ones are sought in a few; the last stage looks at all.
-        own = left.where(F.col("band") < 2 * STARS) if best_only else left
-        rows = own.join(signs, F.col("node") == F.col("_node")).drop("_node")
-        pairs = staged(_plausible(dealt(rows, BLOCK), percent, best_only), "pairs")
-        links = staged(verified(pairs, texts, percent, size), "links")
-        labels = components(links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    left = _open_members(members, labels)
+    if not left.isEmpty():
+        own = texts.join(left.select("node").distinct(), "node", "left_semi")
+        sketches = staged(_sketched(own, size), "sketches")
+        signs = left.join(sketches.select("_node", "signs"), F.col("node") == F.col("_node")).drop("_node")
+        closer = staged(_with_partner(dealt(signs, BLOCK), percent), "partners")
+        if not closer.isEmpty():
+            full = closer.join(sketches, F.col("node") == F.col("_node")).drop("_node")
+            links = staged(_links(dealt(full, BLOCK, weight="1 + n div 1024"), percent), "links")
+            labels = components(links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     linked = signed.select("doc_id", "n", "h").where("doc_id IS NOT NULL AND h IS NOT NULL").join(classes, "h")
     linked = linked.join(labels, "node", "left")

@@ -215,6 +215,53 @@ def test_stars_lose_no_link_between_members(spark):
     assert {r["component_id"] for r in found} == {0}
 
 
+def shingles_of(text: str) -> set:
+    w = words(text)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute_force(docs: dict[int, str]) -> dict[int, int]:
+    sets = {k: shingles_of(t) for k, t in docs.items()}
+    near = [(a, b) for a in docs for b in docs if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) > 0]
+    return groups(near, docs)
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_a_large_group_just_below_the_threshold(spark, monkeypatch, block):
+    """Many texts of similarity 0.6 to 0.74 with each other, some of 0.75 and more: every pair is told apart in blocks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng, body = random.Random(9), [f"w{k}" for k in range(150)]
+    docs = {}
+    for k in range(120):
+        own = list(body)
+        for at in rng.sample(range(0, 150, 10), 3 if k % 3 else 4):
+            own[at] = f"x{k}_{at}"
+        docs[k] = " ".join(own)
+    want = brute_force(docs)
+    assert 2 < len(set(want.values())) < 120
+    found = minhash.near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == want
+
+
+def test_blocks_return_a_row_for_a_member_at_most(spark):
+    rng, body = random.Random(7), [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(300):
+        own = list(body)
+        for at in rng.sample(range(0, 120, 8), 2):
+            own[at] = f"x{k}_{at}"
+        sets = minhash.shingle_set(" ".join(own))
+        signs = (minhash.signature(sets) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()
+        rows.append((5, 0, k, len(sets), k, signs, sets.tobytes()))
+    kind = minhash.MEMBER + ", signs binary, shingles binary"
+    frame = spark.createDataFrame(rows, kind)
+    partners = minhash._with_partner(minhash.dealt(frame, 1024), 75)
+    links = minhash._links(minhash.dealt(frame, 32, weight="1 + n div 1024"), 75)
+    assert partners.count() == 300
+    # A member is in a block with each of the other chunks.
+    assert 0 < links.count() <= 300 * (300 // 32 + 2)
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=400))
 def test_signature_holds_least_hashes(found):
