@@ -23,7 +23,15 @@ from lodgeline.operators.payload import flatten
 from lodgeline.operators.tables import ensure_columns, unseen, verdict
 from lodgeline.schemas import KEY, Roles
 from lodgeline.scratch import scratch_path
-from lodgeline.sources.storage import read_bookings_csv, read_table, row_count, save_sets, table_exists, write_table
+from lodgeline.sources.storage import (
+    folder_columns,
+    read_bookings_csv,
+    read_table,
+    row_count,
+    save_sets,
+    table_exists,
+    write_table,
+)
 
 REQUEST_DATE = "request_date"
 
@@ -98,6 +106,10 @@ def refresh_monitoring(payload: DataFrame, name: str, model_name: str, keep_fail
     """
     spark = payload.sparkSession
     flat = flatten(payload, keep_failed, model_name=model_name)
+    if table_exists(spark, name) and REQUEST_DATE not in folder_columns(spark, name):
+        # A table that was stored without folders by day is compared as a whole.
+        flat = unseen(read_table(spark, name), flat, ["request_id", "pos"])
+        return audited_write(flat, name, "append")
     flat = flat.withColumn(REQUEST_DATE, utc_day(flat, "timestamp"))
     if table_exists(spark, name):
         held = stored_requests(spark, name, days_of(payload), flat)

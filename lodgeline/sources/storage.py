@@ -93,6 +93,8 @@ def _create_or_append(df: DataFrame, name: str, mode: str, key: str, buckets: in
         if buckets not in (0, stored):
             raise ValueError(f"{name} has {stored} key buckets, not {buckets}")
         buckets = stored
+        if partition_by and folder_columns(spark, name) != [partition_by]:
+            raise ValueError(f"{name} has no folders by {partition_by}")
     if buckets:
         df, folders = with_bucket(df, key, buckets).hint("rebalance", KEY_BUCKET), [KEY_BUCKET]
     elif partition_by:
@@ -168,6 +170,17 @@ def last_batch(spark: SparkSession, name: str) -> int:
     return _marked(spark, _batch_marker(spark, name), -1) if table_exists(spark, name) else -1
 
 
+def folder_columns(spark: SparkSession, name: str) -> list[str]:
+    """Columns whose values name the folders of a table."""
+    if not is_path(name):
+        return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    place, out = name.rstrip("/"), []
+    while found := [n for n in children(spark, place) if "=" in n and not n.startswith(("_", "."))]:
+        out.append(found[0].split("=")[0])
+        place = f"{place}/{found[0]}"
+    return out
+
+
 def location(spark: SparkSession, name: str) -> str:
     """Folder of a table."""
     if is_path(name):

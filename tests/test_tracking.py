@@ -194,3 +194,24 @@ def test_refresh_reads_only_the_days_of_the_log(spark, path):
     assert f"PartitionFilters: [(" in plan or f"{jobs.REQUEST_DATE}#" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert {f.split("request_date=")[1].split("/")[0] for f in held.inputFiles()} >= {"2024-01-01"}
     assert rows(held, "request_id") == [("a",), ("d",), ("e",)]
+
+
+def test_refresh_of_tables_without_days_and_of_named_tables(spark, path):
+    from lodgeline.operators.payload import flatten
+    from lodgeline.sources import storage
+
+    body, answer = '{"dataframe_records":[{"lead_time":1}]}', '{"predictions":["Canceled"]}'
+    kind = "request_time string, request_id string, execution_duration_ms long, request string, response string"
+    data = [(f"2024-01-0{k} 10:00:00", f"r{k}", 5, body, answer) for k in (1, 2, 3)]
+    log = spark.createDataFrame(data, kind).withColumn("request_time", F.col("request_time").cast("timestamp"))
+    storage.write_table(flatten(log.limit(1), model_name="lr"), path)
+    assert jobs.refresh_monitoring(log, path, "lr").incoming == 2 and jobs.refresh_monitoring(log, path, "lr").after == 3
+    assert storage.folder_columns(spark, path) == []
+    with pytest.raises(ValueError, match="no folders by"):
+        storage.write_table(flatten(log, model_name="lr").withColumn("d", F.lit(1)), path, "append", partition_by="d")
+    name = "monitoring_by_day"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert jobs.refresh_monitoring(log.limit(2), name, "lr").after == 2
+    assert jobs.refresh_monitoring(log, name, "lr").incoming == 1 and jobs.refresh_monitoring(log, name, "lr").after == 3
+    assert storage.folder_columns(spark, name) == [jobs.REQUEST_DATE]
+    spark.sql(f"DROP TABLE {name}")
