@@ -245,9 +245,10 @@ def identify(documents: DataFrame, per_language: int = 1000) -> DataFrame:
 
 
 def of_known_language(documents: DataFrame, least_score: float = 0.4, per_language: int = 1000) -> DataFrame:
-    """The documents with a recognised language and at least this score, with their own columns.
+    """The documents with a recognised language and at least this score, with their own columns, whatever they are called.
 
-    If there is nothing to learn from, no language can be told from another, and all documents with a letter are returned.
+    A null or empty text, and one without a letter, goes. Rows without id or language are judged by their text like any
+    other, and so is each repeated row; an empty table gives no rows. If there is nothing to learn from, no language can be told from another, and all documents with a letter are returned.
     """
     columns = documents.columns
     model = train(_rows(documents), per_language)

@@ -159,9 +159,11 @@ def quality(documents: DataFrame) -> DataFrame:
 
 
 def filtered(documents: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns.
+    """The documents that are kept, with their own columns, whatever they are called.
 
-    The texts are read twice, for the fences and for the verdict, and are never shuffled.
+    The texts are read twice, for the fences and for the verdict, and are never shuffled. A null or empty text goes, since
+    it has no 50 words; rows without id, language or source are judged like any other, null being a group of its own.
+    Repeated rows stay or go together, and each that stays is returned. An empty table gives no rows.
     """
     columns = documents.columns
     text = text_column()

@@ -76,9 +76,10 @@ def curve_order(
         return pd.Series(hilbert_index(np.stack(columns, axis=1), bits))
 
     cells = [_hashed(c, levels).alias(c) for c in hashed] + [F.col(c).cast("double").alias(c) for c in ranged]
-    order = [name, *ties]
+    # Rows that tie in everything are spread by where they were read, so that no range has to hold them all.
+    order = [name, *ties, "_salt"]
     ranked = (
-        df.withColumn(name, place_on_curve(F.struct(*cells)))
+        df.withColumns({name: place_on_curve(F.struct(*cells)), "_salt": F.xxhash64(F.monotonically_increasing_id())})
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
@@ -96,7 +97,7 @@ def curve_order(
         ranked.join(F.broadcast(offsets), "_part")
         .withColumn("place", F.col("_start") + within)
         .withColumn("total", F.lit(total).cast("long"))
-        .drop("_part", "_start", "_id")
+        .drop("_part", "_start", "_id", "_salt")
     )
 
 

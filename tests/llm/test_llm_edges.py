@@ -7,7 +7,20 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lodgeline.llm import bpe, embeddings, extraction, language, minhash, packing, quality, scoring, sharding, tokens
+from lodgeline.llm import (
+    bpe,
+    embeddings,
+    extraction,
+    language,
+    minhash,
+    packing,
+    personal,
+    quality,
+    resampling,
+    scoring,
+    sharding,
+    tokens,
+)
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, shard int, n int, component_id string, kept int, key long"
 PROSE = "the quick brown fox jumps over the lazy dog and runs far away from all of us here "
@@ -35,6 +48,8 @@ OPERATORS = {
     "language": language.identify,
     "bpe": lambda d: bpe.encode_decode(d, public_tokenizers.path("byte_bpe_50k.json")),
     "quality": quality.quality,
+    "resampling": lambda d: resampling.resampled(d, d),
+    "personal": personal.personal_data,
 }
 
 
@@ -115,6 +130,21 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd):
     assert sorted(x for x in left if x is not None) == [1, 2, 3, 4, 7, 8, 10] and left.count(None) == 2
 
 
+def test_rows_that_tie_are_spread_over_ranges(spark):
+    rows = spark.range(4000, numPartitions=4).selectExpr("CAST(NULL AS LONG) AS doc_id", "'' AS text", "'en' AS lang", "'a' AS source")
+    found = sharding.hilbert_shards(rows, shards=7)
+    counts = sorted(r["count"] for r in found.groupBy("shard").count().collect())
+    assert sum(counts) == 4000 and counts[-1] - counts[0] <= 1
+    base = rows.selectExpr("doc_id", "16L AS size", "0L AS text_crc32", "source", "lang")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = sharding.curve_order(base, ["source", "lang"], ["size", "doc_id"], ["text_crc32", "doc_id"], 5)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in ordered.groupBy(F.input_file_name()).count().collect()]
+    assert "_salt" not in ordered.columns and len(sizes) > 1 and max(sizes) < 3000
+
+
 def test_extra_columns_do_not_reach_the_result(odd):
     assert sharding.hilbert_shards(odd.withColumn("place", F.lit(1))).columns[:3] == ["doc_id", "size", "text_crc32"]
 
