@@ -11,11 +11,13 @@ distributed.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +109,11 @@ def _load(tokenizer: str):
     return Tokenizer.from_str(tokenizer)
 
 
+def _letter(c: str) -> bool:
+    """Whether a character is a letter and stays one when it is composed and lowered, without a mark behind it."""
+    return c.isalpha() and (c.isascii() or unicodedata.normalize("NFC", c).lower().isalpha())
+
+
 class ChunkEncoder:
     """Ids of texts by the tokenizers library, which is asked once for each different word.
 
@@ -114,53 +121,100 @@ class ChunkEncoder:
     its chunks between them. A sign after a letter is a token's limit as well, and ASCII is lowered alike everywhere,
     so chunks that differ in capitals or in a sign at the end share the ids of one word. Added tokens are looked for
     before anything is lowered, so chunks that would hold one in lower case are asked for as they stand.
+
+    Texts are split and their different chunks found by Arrow, and ids are put together by taking from the ids of the
+    different chunks, so Python handles each different chunk of a slice once. Only words are kept from slice to slice.
     """
 
     SIGNS = frozenset(".,;:!?")
+    #: Chunks whose ids are put together at once.
+    PART = 500_000
 
-    def __init__(self, tokenizer: str, limit: int = 400_000):
+    def __init__(self, tokenizer: str, limit: int = 300_000):
         self.tokenizer, self.limit = _load(tokenizer), limit
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-
-    def _word(self, chunk: str) -> tuple[str, str]:
-        """What to ask for, and the sign at the end."""
-        lowered = chunk.lower()
-        if any(token in lowered for token in self.added):
-            return chunk, ""
-        if chunk[-1:] in self.SIGNS and chunk[-2:-1].isalpha():
-            chunk, sign = chunk[:-1], chunk[-1]
-        else:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+        self._learn(set(self.SIGNS))
+        self.signs = {"": b"", **self.words}
+
+    def _parts(self, chunks: list[str]) -> Iterator[tuple[str, str]]:
+        """What to ask for instead of each chunk, and the sign at its end."""
+        whole = " ".join(chunks).lower()
+        added = [token for token in self.added if token in whole]
+        signs = self.SIGNS
+        for chunk in chunks:
+            if added and any(token in chunk.lower() for token in added):
+                yield chunk, ""
+                continue
             sign = ""
-        return (chunk.lower() if chunk.isascii() else chunk), sign
+            if chunk[-1:] in signs and _letter(chunk[-2:-1]):
+                chunk, sign = chunk[:-1], chunk[-1]
+            yield (chunk.lower() if chunk.isascii() else chunk), sign
 
-    def _learn(self, new: set[str]) -> None:
-        parts = {chunk: self._word(chunk) for chunk in new}
-        needed = {p for pair in parts.values() for p in pair}
-        if len(self.words) + len(needed) > self.limit // 2:
-            self.words = {w: self.words[w] for w in needed.intersection(self.words)}
+    def _learn(self, needed: set[str]) -> None:
         todo = list(needed.difference(self.words))
-        for k in range(0, len(todo), 20_000):
-            part = todo[k : k + 20_000]
+        if len(self.words) + len(todo) > self.limit:
+            # Words of this slice stay, the common ones among them.
+            self.words = {w: self.words[w] for w in needed.intersection(self.words)}
+        # A word of letters only is one word to the tokenizer as well.
+        plain = [w for w in todo if w.isalpha()]
+        for k in range(0, len(plain), 5_000):
+            self._learn_plain(plain[k : k + 5_000])
+        self._learn_each([w for w in todo if not w.isalpha()])
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Ask for many words in one text, and cut its ids where a word ends.
+
+        If there are more ends than words, some letters were taken apart; halves are asked for until it is clear which.
+        """
+        (e,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(e.ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(ids):
+            if len(words) == 1:
+                self._learn_each(words)
+            else:
+                self._learn_plain(words[: len(words) // 2])
+                self._learn_plain(words[len(words) // 2 :])
+            return
+        data, cuts = ids.tobytes(), (4 * cuts).tolist()
+        self.words.update(zip(words, (data[a:b] for a, b in zip([0, *cuts], cuts))))
+
+    def _learn_each(self, words: list[str]) -> None:
+        for k in range(0, len(words), 20_000):
+            part = words[k : k + 20_000]
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.words[word] = np.array(e.ids, "<u4").tobytes()
-        for chunk, (word, sign) in parts.items():
-            self.known[chunk] = self.words[word] + self.words[sign] if sign else self.words[word]
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        met = set().union(*split)
-        new = met.difference(self.known)
-        if len(self.known) + len(new) > self.limit:
-            # Chunks of these texts stay, the common ones among them.
-            self.known = {c: self.known[c] for c in met.intersection(self.known)}
-        self._learn(new)
-        known = self.known
-        for chunks in split:
-            yield b"".join([known[c] for c in chunks])
+
+    def __call__(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        array = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        chunks = pc.split_pattern(pc.replace_substring(array, "\n", " "), " ")
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(chunks).to_numpy(zero_copy_only=False))])
+        coded = chunks.flatten().dictionary_encode()
+        parts = list(self._parts(coded.dictionary.to_pylist()))
+        self._learn({word for word, _ in parts})
+        words, signs = self.words, self.signs
+        ids = [words[word] + signs[sign] for word, sign in parts]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        data, start = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        number = coded.indices.to_numpy(zero_copy_only=False)
+        out, ends = [], [np.zeros(1, np.int64)]
+        for k in range(0, len(number), self.PART):
+            own = number[k : k + self.PART]
+            n = size[own]
+            total = np.cumsum(n)
+            ends.append(total + ends[-1][-1])
+            if len(n):
+                out.append(data[np.repeat(start[own] - (total - n), n) + np.arange(total[-1])])
+        whole = np.concatenate(out) if out else np.empty(0, "<u4")
+        cuts = np.concatenate(ends)[bounds].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            yield whole[a:b].tobytes()
 
 
 #: Encoders of this worker process, by tokenizer.
@@ -174,16 +228,16 @@ def encoder(tokenizer: str) -> ChunkEncoder:
     return _ENCODERS[key]
 
 
-def slices(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of about so many characters, one text at least."""
+def slices(sizes: list[int], most: int = 8_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes, one text at least."""
     start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= chars:
+    for k, own in enumerate(sizes):
+        size += own
+        if size >= most:
             yield start, k + 1
             start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, _part int, _nth long"
@@ -201,10 +255,10 @@ def pieces(documents: DataFrame, tokenizer_json: str, end_id: int = 0, capacity:
         seen = np.zeros(capacity + 1, np.int64)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in slices(pc.binary_length(texts).to_pylist()):
                 rows: list[tuple] = []
-                for doc, data in zip(ids[a:b], encode(texts[a:b])):
+                for doc, data in zip(ids[a:b], encode(texts.slice(a, b - a))):
                     data += end
                     for k in range(0, len(data), 4 * capacity):
                         own = data[k : k + 4 * capacity]

@@ -529,3 +529,15 @@ def test_stages_against_the_operators(spark, documents):
     assert ids(third) == ids(minhash.near_duplicates(second).where("kept"))
     last = corpus_pipeline.run(spark, FOLDER)
     assert sorted({r["doc_id"] for r in last.collect()}) == ids(third)
+
+
+def test_words_asked_for_together_encode_like_each(texts):
+    library = Tokenizer.from_file(WORD_BPE)
+    with open(WORD_BPE, encoding="utf-8") as f:
+        encode = packing.ChunkEncoder(f.read())
+    # Capital dotted i falls apart when lowered; letters of many scripts; a sign table of its own per slice.
+    plain = ["İstanbul", "İ", "ǅ", "straße", "ΑΣ", "日本語", "ﬁne", "ªº", "ʰx", "a" * 900, "ÀÉ", "한국어", "ﷺ", "क", "कि", "áb", "ss", "x"]
+    odd = [" ".join(plain), *plain, *(f"{w}." for w in plain), *(f"{w} {v}" for w in plain for v in plain)]
+    for part in (odd, odd[::-1], list(texts.values())):
+        for ids, want in zip(encode(part), library.encode_batch(part, add_special_tokens=False)):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids
