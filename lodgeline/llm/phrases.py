@@ -14,8 +14,8 @@ what it lets through.
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -36,9 +36,9 @@ SAMPLE = 16
 BITS = 27
 #: Bytes of text that are worked on at once.
 PART = 1_000_000
-#: Counts a task holds before it sends them on.
-HELD = 1_000_000
-NAMED = 100_000
+#: Counts by hash, and by words, that a task holds before it sends them on.
+HELD = 5_000_000
+NAMED = 1_000_000
 
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 _IN_WORD = np.ones(256, bool)
@@ -166,41 +166,85 @@ def _joined(known: np.ndarray | None, n: int) -> np.ndarray:
 
 
 class _Border:
-    """Counts by hash, merged whenever many are held."""
+    """Counts by hash in order of the hash; new ones are put in among them whenever some are held back."""
 
     def __init__(self):
-        self.held, self.size = [], 0
+        self.hash, self.n = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
     def add(self, h: np.ndarray) -> bool:
-        self.held.append(np.unique(h, return_counts=True))
-        self.size += len(self.held[-1][0])
-        if self.size > HELD:
+        """Whether there are so many that they should be sent on."""
+        h, n = np.unique(h, return_counts=True)
+        self.held.append((h, n.astype(np.int32)))
+        self.size += len(h)
+        if self.size > HELD // 8:
             self.merge()
-        return self.size > HELD // 2
+        return len(self.hash) > HELD
 
     def merge(self) -> None:
-        if self.held:
-            h, place = np.unique(np.concatenate([h for h, _ in self.held]), return_inverse=True)
-            n = np.bincount(place, np.concatenate([n for _, n in self.held])).astype(np.int64)
-            self.held, self.size = [(h, n)], len(h)
+        if not self.held:
+            return
+        h = np.concatenate([h for h, _ in self.held])
+        n = np.concatenate([n for _, n in self.held])
+        self.held, self.size = [], 0
+        order = np.argsort(h)
+        h, n = h[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        h, n = h[first], np.add.reduceat(n, first)
+        at = np.searchsorted(self.hash, h)
+        known = np.zeros(len(h), bool)
+        inside = at < len(self.hash)
+        known[inside] = self.hash[at[inside]] == h[inside]
+        self.n[at[known]] += n[known]
+        self.n = np.insert(self.n, at[~known], n[~known])
+        self.hash = np.insert(self.hash, at[~known], h[~known])
 
     def take(self) -> Iterator[pa.RecordBatch]:
         self.merge()
-        for h, n in self.held:
-            for k in range(0, len(h), 100_000):
-                part = h[k : k + 100_000].view(np.int64)
-                empty = pa.nulls(len(part), pa.string())
-                yield pa.record_batch([empty, empty, pa.array(part), pa.array(n[k : k + 100_000])], ["lang", "phrase", "hash", "n"])
-        self.held, self.size = [], 0
+        for k in range(0, len(self.hash), 100_000):
+            part = self.hash[k : k + 100_000].view(np.int64)
+            empty = pa.nulls(len(part), pa.string())
+            n = pa.array(self.n[k : k + 100_000], pa.int64())
+            yield pa.record_batch([empty, empty, pa.array(part), n], ["lang", "phrase", "hash", "n"])
+        self.hash, self.n = self.hash[:0], self.n[:0]
 
 
-def _named_rows(named: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, own in named.items():
-        phrases, n = list(own), list(own.values())
+class _Named:
+    """Counts by hash in order of the hash, with each phrase's language and words, which are taken from the text once."""
+
+    def __init__(self):
+        self.hash, self.n, self.at = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.phrases: list[bytes] = []
+        self.langs: list[str] = []
+
+    def add(self, h: np.ndarray, n: np.ndarray, words: Callable[[int], tuple[str, bytes]]) -> None:
+        """Counts of different hashes; `words` gives language and phrase of the k-th of them."""
+        order = np.argsort(h)
+        h, n = h[order], n[order]
+        at = np.searchsorted(self.hash, h)
+        known = np.zeros(len(h), bool)
+        inside = at < len(self.hash)
+        known[inside] = self.hash[at[inside]] == h[inside]
+        self.n[at[known]] += n[known]
+        new = np.flatnonzero(~known)
+        first = len(self.phrases)
+        for k in order[new].tolist():
+            lang, phrase = words(k)
+            self.langs.append(lang)
+            self.phrases.append(phrase)
+        self.at = np.insert(self.at, at[new], np.arange(first, len(self.phrases), dtype=np.int32))
+        self.n = np.insert(self.n, at[new], n[new])
+        self.hash = np.insert(self.hash, at[new], h[new])
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        n = np.empty(len(self.n), np.int64)
+        n[self.at] = self.n
         for k in range(0, len(n), 100_000):
-            part = pa.array(phrases[k : k + 100_000], pa.binary()).cast(pa.string())
-            columns = [pa.array([lang] * len(part), pa.string()), part, pa.nulls(len(part), pa.int64()), pa.array(n[k : k + 100_000], pa.int64())]
-            yield pa.record_batch(columns, ["lang", "phrase", "hash", "n"])
+            phrases = pa.array(self.phrases[k : k + 100_000], pa.binary()).cast(pa.string())
+            langs, none = pa.array(self.langs[k : k + 100_000], pa.string()), pa.nulls(len(phrases), pa.int64())
+            yield pa.record_batch([langs, phrases, none, pa.array(n[k : k + 100_000])], ["lang", "phrase", "hash", "n"])
+        self.__init__()
 
 
 def _shared(spark: SparkSession, bits: np.ndarray | None) -> Broadcast:
@@ -222,34 +266,43 @@ def _counted(texts: DataFrame, shared: Broadcast, earlier: Broadcast, least: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, then = _opened(shared), _opened(earlier)
-        border, named = _Border(), defaultdict(Counter)
+        border, named, totals = _Border(), _Named(), Counter()
         for part in _slices(batches):
             known = known_then = None
             w, names = _words(part), part.names
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
             for k, (h, whole) in enumerate(_levels(w, names), 1):
                 open_now = _joined(known, len(h))
                 # Before the first pass nothing was counted; after it words have all been.
                 open_then = np.zeros(len(h), bool) if first else _joined(known_then, len(h))
                 known, known_then = _has(now, h), _has(then, h)
-                todo = np.flatnonzero(whole & open_now & known & ~(open_then & known_then)) if name else ()
-                if len(todo):
-                    _, at, n = np.unique(h[todo], return_index=True, return_counts=True)
-                    at = todo[at]
-                    places = zip(w.lang[at].tolist(), w.start[at].tolist(), w.end[at + k - 1].tolist(), n.tolist())
-                    for lang, a, b, c in places:
-                        phrase = part.data[a:b]
-                        named[names[lang]][phrase if k == 1 else b" ".join(phrase.split())] += c
+                if name:
+                    todo = np.flatnonzero(whole & open_now & known & ~(open_then & known_then))
+                    own, at, n = np.unique(h[todo], return_index=True, return_counts=True)
+                    found.append((own, n, todo[at], k))
                 new = h[whole & open_now & ~open_then & ~known]
                 if len(new) and border.add(new):
                     yield from border.take()
                 if first and name and k == 1:
-                    for lang, n in zip(names, np.bincount(w.lang[whole], minlength=len(names)).tolist()):
-                        named[lang][b""] += n
-            if sum(map(len, named.values())) > NAMED:
-                yield from _named_rows(named)
-                named.clear()
-        yield from _named_rows(named)
+                    totals.update(dict(zip(names, np.bincount(w.lang[whole], minlength=len(names)).tolist())))
+            if found:
+                at = np.concatenate([at for _, _, at, _ in found])
+                size = np.concatenate([np.full(len(at), k) for _, _, at, k in found])
+                lang, start, end = w.lang[at], w.start[at], w.end[at + size - 1]
+
+                def words(k: int, part=part, lang=lang, start=start, end=end, size=size) -> tuple[str, bytes]:
+                    phrase = part.data[start[k] : end[k]]
+                    return part.names[lang[k]], b" ".join(phrase.split()) if size[k] > 1 else phrase
+
+                named.add(np.concatenate([h for h, _, _, _ in found]), np.concatenate([n for _, n, _, _ in found]), words)
+                if len(named.hash) > NAMED:
+                    yield from named.take()
+        yield from named.take()
         yield from border.take()
+        if totals:
+            langs, n = list(totals), list(totals.values())
+            empty, none = pa.array([""] * len(n), pa.string()), pa.nulls(len(n), pa.int64())
+            yield pa.record_batch([pa.array(langs, pa.string()), empty, none, pa.array(n, pa.int64())], ["lang", "phrase", "hash", "n"])
 
     rows = texts.mapInArrow(run, "lang string, phrase string, hash long, n long")
     # A task has added up what it met, and most of the border is met once: adding up again before the shuffle only
