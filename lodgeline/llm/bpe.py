@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -213,7 +214,7 @@ def encode_decode(documents: DataFrame, vocabulary_path: str) -> DataFrame:
         codec = _ENCODERS[vocabulary_path]
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(pc.binary_length(batch.column(1)).to_pylist()):
                 ids = list(codec.encode(texts[a:b]))
                 decoded = [codec.decode(x) for x in ids]
                 yield pa.record_batch(

@@ -386,6 +386,17 @@ def test_encoding_query(spark, texts):
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
 
 
+def test_texts_of_a_batch_in_several_slices(spark):
+    library = Tokenizer.from_file(BYTE_BPE)
+    # Slices go by bytes: the second text ends the first one.
+    found = [(0, "a é"), (1, "é b\n" * 1_700_000), (2, None), (3, "日本語"), (4, "")]
+    rows = spark.createDataFrame(found, "doc_id long, text string").coalesce(1)
+    for r in bpe.encode_decode(rows, BYTE_BPE).collect():
+        text = found[r["doc_id"]][1] or ""
+        assert r["decoded"] == text
+        assert bytes(r["ids"]) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 # Vectors
 
 
