@@ -1,11 +1,16 @@
-"""Main text of web pages: by markup where the page declares it, by a host-wide suffix array where it does not.
-
-Markup settles most pages: menus, footers, adverts, comments and the like are named by tags, roles and classes, and
-articles by `article`, `main` and their kin. Text that is neither is open. Open text is judged by the pages of its host:
-all their undeclared token streams, those beside declared articles too, are a suffix array cut off at `RUN` tokens. The
-suffixes of a host that begin with the same `RUN` tokens lie together (one bucket of the array, found by the shuffle),
-and a bucket with suffixes of several different pages is a repeated substring. Tokens covered by one are boilerplate,
-the unique runs between them are kept. Repetition never removes declared article text, since articles may be copied.
+"""Main text of web pages: by markup, and by a suffix array over all pages of a host.
+
+Markup names menus, footers, adverts, comments and the like by tags, roles and classes, and articles by `article`,
+`main` and their kin. Text that is neither is open. What is left of a page, declared or open, is then judged by the
+pages of its host: their token streams are a suffix array cut off at `RUN` tokens. The suffixes of a host that begin with
+the same `RUN` tokens lie together (one bucket of the array, found by the shuffle), and a bucket with suffixes of several
+different pages is a repeated substring. Tokens covered by one are boilerplate, the unique runs between them are kept.
+
+Declared text is boilerplate on stronger evidence only, since articles may be copied: `DECLARED_RUN` tokens on end that
+stand in more than half of the host's declared texts, and no more than half of the text. What stands in more than half of
+them does so in at least one of any parts the pages are dealt into, so each task names the buckets that do in its own
+pages, and only these are counted over all pages. So long a run holds the least bucket of each `NEIGHBOURS`, so only these
+are looked at first; around those that repeat, all buckets are counted, which extends each substring to its full length.
 """
 
 from __future__ import annotations
@@ -26,6 +31,9 @@ from lodgeline.llm.common import Memo, mixed, staged, window_hashes
 #: Tokens that must agree, and different pages on which they must stand, for a substring to be boilerplate.
 RUN = 6
 PAGES = 3
+#: Tokens on end that must repeat in declared text.
+DECLARED_RUN = 12
+NEIGHBOURS = DECLARED_RUN - RUN + 1
 #: Open text so many times as long as what a class declares says that the class means something else.
 OUTWEIGHED = 3
 
@@ -235,12 +243,23 @@ def read_page(source: str) -> Page:
 _TOKENS = Memo(lambda token: xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")))
 
 
-def _starts(tokens: list[str], host: int) -> np.ndarray:
-    """The bucket of the suffix at each token: host and first `RUN` tokens. The last suffixes are too short for one."""
+def _starts(tokens: list[str], host: int, declared: bool = False) -> np.ndarray:
+    """The bucket of the suffix at each token: host and first `RUN` tokens. The last suffixes are too short for one.
+
+    The lowest bit tells the buckets of declared texts from the others.
+    """
     if len(tokens) < RUN:
         return np.zeros(0, np.int64)
     hashes = np.fromiter(map(_TOKENS.__getitem__, tokens), np.uint64, len(tokens))
-    return mixed(window_hashes(hashes, RUN) ^ np.uint64(host)).view(np.int64)
+    return mixed(window_hashes(hashes, RUN) ^ np.uint64(host)).view(np.int64) & ~1 | int(declared)
+
+
+def _least(buckets: np.ndarray) -> np.ndarray:
+    """Places of the least bucket of each `NEIGHBOURS`; equal runs of `DECLARED_RUN` tokens have such a bucket in common."""
+    if len(buckets) < NEIGHBOURS:
+        return np.zeros(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(buckets, NEIGHBOURS).argmin(axis=1)
+    return np.unique(least + np.arange(len(least)))
 
 
 def _host(url: str | None) -> str:
@@ -248,37 +267,35 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-PARSED = "page_id long, url string, text string, stream long, tokens array<string>, buckets array<long>"
+PARSED = "page_id long, url string, host long, stream long, declared boolean, text string, others array<string>"
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """text: the main text if declared, else null. stream: names the page's texts. tokens: the open ones.
-
-    buckets: those of the suffixes of the undeclared tokens, the open ones first.
-    """
+    """text: the declared main text, or all open text. stream: names the page's texts. others: the texts beside it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts, streams, tokens, buckets = [], [], [], []
+                hosts, streams, declared, texts, others = [], [], [], [], []
                 for url, source in zip(part.column(1), part.column(2)):
                     page = read_page(source.as_py())
                     text = page.decided()
-                    found = " ".join(t for _, t in page.blocks).split(" ") if text is None else []
-                    beside = page.beside().split()
-                    other = " ".join(page.boilerplate).split()
+                    own = " ".join(t for _, t in page.blocks) if text is None else text
+                    other = [page.beside(), " ".join(page.boilerplate)]
                     host = xxhash.xxh3_64_intdigest(_host(url.as_py()).encode("utf-8", "surrogatepass"))
-                    stream = "\n".join([str(host), text or "", " ".join(found), " ".join(beside), " ".join(other)])
-                    texts.append(text)
+                    stream = "\n".join([str(host), str(text is None), own, *other])
+                    hosts.append(host - 2**63)
                     streams.append(xxhash.xxh3_64_intdigest(stream.encode("utf-8", "surrogatepass")) - 2**63)
-                    tokens.append(found if text is None else None)
-                    buckets.append(np.concatenate([_starts(own, host) for own in (found, beside, other)]))
+                    declared.append(text is not None)
+                    texts.append(own)
+                    others.append(other)
                 columns = [
-                    pa.array(texts, pa.string()),
+                    pa.array(hosts, pa.int64()),
                     pa.array(streams, pa.int64()),
-                    pa.array(tokens, pa.list_(pa.string())),
-                    pa.array(buckets, pa.list_(pa.int64())),
+                    pa.array(declared, pa.bool_()),
+                    pa.array(texts, pa.string()),
+                    pa.array(others, pa.list_(pa.string())),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *columns], names=[c.split()[0] for c in PARSED.split(", ")]
@@ -292,18 +309,110 @@ def _parsed(pages: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, PARSED)
 
 
+def _suffixes(parsed: DataFrame, text: bool = True, others: bool = False) -> DataFrame:
+    """stream, place, bucket of the suffixes of the page's own text, of `others` beside it (place -1), or of both.
+
+    Of declared texts the least of neighbours, or those around `places` if the pages have this column.
+    """
+    near = "places" in parsed.columns
+    wanted = ["host", "stream", "declared", *["text"] * text, *["others"] * others, *["places"] * near]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                streams, places, buckets = [], [], []
+                for row in part.to_pylist():
+                    host = row["host"] + 2**63
+                    found = []
+                    if text:
+                        own = _starts(row["text"].split(" "), host, row["declared"])
+                        if near:
+                            around = np.array(row["places"])[:, None] + np.arange(1 - NEIGHBOURS, NEIGHBOURS)
+                            at = np.unique(around[(around >= 0) & (around < len(own))])
+                        else:
+                            at = _least(own) if row["declared"] else np.arange(len(own))
+                        found.append(own[at])
+                        places.append(at)
+                    if others:
+                        beside = [_starts(other.split(), host) for other in row["others"]]
+                        found += beside
+                        places.append(np.full(sum(map(len, beside)), -1))
+                    buckets += found
+                    streams.append(np.full(sum(map(len, found)), row["stream"]))
+                columns = [np.concatenate(streams), np.concatenate(places).astype(np.int32), np.concatenate(buckets)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["stream", "place", "bucket"])
+
+    return parsed.select(*wanted).mapInArrow(run, "stream long, place int, bucket long")
+
+
+def _often(declared: DataFrame, at_once: int = 2_000_000) -> DataFrame:
+    """Buckets that stand in more than half of the texts that a host has in some part of the table: host, bucket.
+
+    `declared` has no copies. A part is what a task holds when it has about `at_once` buckets, or has read all.
+    """
+
+    def part(hosts: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, first, n = np.unique(np.concatenate(held), return_index=True, return_counts=True)
+        # A bucket has one host.
+        of = np.repeat(np.array(hosts, np.int64), [len(own) for own in held])[first]
+        known, texts = np.unique(hosts, return_counts=True)
+        most = 2 * n > texts[np.searchsorted(known, of)]
+        return pa.record_batch([pa.array(of[most]), pa.array(bucket[most])], ["host", "bucket"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hosts, held, size = [], [], 0
+        for batch in batches:
+            for host, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = _starts(text.as_py().split(" "), host + 2**63, True)
+                hosts.append(host)
+                held.append(np.unique(own[_least(own)]))
+                size += len(held[-1])
+                if size >= at_once:
+                    yield part(hosts, held)
+                    hosts, held, size = [], [], 0
+        if hosts:
+            yield part(hosts, held)
+
+    return declared.select("host", "text").mapInArrow(run, "host long, bucket long").distinct()
+
+
+def _repeated(suffixes: DataFrame) -> DataFrame:
+    """Buckets that stand on enough different pages, the number of these pages, and one of them."""
+    seen = suffixes.select("bucket", "stream").distinct()
+    return seen.groupBy("bucket").agg(F.count("*").alias("n"), F.min("stream").alias("sample")).where(F.col("n") >= PAGES)
+
+
+def _in_most(repeated: DataFrame, declared: DataFrame) -> DataFrame:
+    """Of the buckets of declared texts those that stand in more than half of the host's."""
+    streams = declared.select("host", "stream").distinct()
+    sizes = streams.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("pages"))
+    own = repeated.where(F.col("bucket").bitwiseAND(F.lit(1)) == 1).join(streams, F.col("sample") == F.col("stream"))
+    return own.join(sizes, F.col("host") == F.col("_host")).where(2 * F.col("n") > F.col("pages")).select("bucket")
+
+
 def _unique_runs(rows: DataFrame) -> DataFrame:
-    """Text of open pages: their tokens but for those that a repeated substring (`covered`: its places) covers."""
+    """The texts but for the tokens that a repeated substring (`covered`: its places) covers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for tokens, covered in zip(batch.column("tokens"), batch.column("covered")):
-                own = tokens.as_py()
-                keep = np.ones(len(own), bool)
-                for p in covered.as_py() or []:
-                    keep[p : p + RUN] = False
-                texts.append(" ".join(t for t, k in zip(own, keep) if k))
+            for declared, text, covered in zip(*(batch.column(c).to_pylist() for c in ("declared", "text", "covered"))):
+                if covered:
+                    own = text.split(" ")
+                    gone = np.zeros(len(own) + 2, np.int8)
+                    for p in covered:
+                        gone[p + 1 : p + 1 + RUN] = 1
+                    if declared:
+                        edges = np.flatnonzero(np.diff(gone))
+                        for a, b in zip(edges[::2], edges[1::2]):
+                            if b - a < DECLARED_RUN:
+                                gone[a + 1 : b + 1] = 0
+                        # What is mostly repeated is a copied article.
+                        if 2 * gone.sum() > len(own):
+                            gone[:] = 0
+                    text = " ".join(t for t, g in zip(own, gone[1:]) if not g)
+                texts.append(text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )
@@ -318,14 +427,24 @@ def main_text(pages: DataFrame) -> DataFrame:
     repetition is counted. A null url is a host of its own. Repeated rows are extracted each; an empty table gives no
     rows; other columns are ignored.
     """
-    parsed = _parsed(pages)
-    seen = parsed.select("stream", F.explode(F.array_distinct("buckets")).alias("bucket")).distinct()
-    repeated = staged(seen.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= PAGES).select("bucket"), "repeated")
-    decided = parsed.where("text IS NOT NULL").select("page_id", "url", "text")
-    open_pages = staged(parsed.where("text IS NULL"), "open-pages")
-    suffixes = open_pages.select("stream", F.size("tokens").alias("n"), F.posexplode("buckets").alias("place", "bucket"))
-    own = suffixes.where(F.col("place") <= F.col("n") - RUN).select("stream", "place", "bucket").distinct()
-    covered = own.join(repeated, "bucket").groupBy("stream").agg(F.collect_set("place").alias("covered"))
-    rest = open_pages.select("page_id", "url", "tokens", "stream").join(covered, "stream", "left")
-    text = decided.union(_unique_runs(rest))
+    parsed = staged(_parsed(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
+    open_pages, declared = parsed.where("NOT declared"), parsed.where("declared")
+    # Open texts, by all that is not declared.
+    beside = _suffixes(declared, text=False, others=True).union(_suffixes(open_pages, others=True))
+    repeated = staged(_repeated(beside).select("bucket"), "repeated")
+    covered = _suffixes(open_pages).join(repeated, "bucket").select("stream", "place")
+    # Declared texts.
+    copied = declared.groupBy(F.col("stream").alias("_stream")).agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    marked = declared.join(staged(copied.where("n > 1"), "copied"), F.col("stream") == F.col("_stream"), "left")
+    often = staged(_often(marked.where("first IS NULL OR first = row")), "often")
+    hosts = staged(often.select("host").distinct(), "hosts")
+    found = _suffixes(declared.join(hosts, "host", "left_semi")).join(often.select("bucket"), "bucket")
+    found = staged(found.select("stream", "place", "bucket"), "found")
+    anchors = staged(_in_most(_repeated(found), declared), "anchors")
+    anchored = found.join(anchors, "bucket").groupBy("stream").agg(F.collect_set("place").alias("places"))
+    near = staged(_suffixes(declared.join(staged(anchored, "anchored"), "stream")), "near")
+    full = staged(_in_most(_repeated(near), declared), "full")
+    covered = covered.union(near.join(full, "bucket").select("stream", "place"))
+    places = staged(covered.groupBy("stream").agg(F.collect_set("place").alias("covered")), "covered")
+    text = _unique_runs(parsed.select("page_id", "url", "declared", "text", "stream").join(places, "stream", "left"))
     return text.withColumn("n_chars", F.length("text").cast("long"))
