@@ -1,33 +1,53 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-A state of the tree is a context of up to `depth` words. A context is a candidate if its share of the training tokens
-reaches `context_share`; it is retained if its next-word distribution diverges from that of its longest retained proper
-suffix by more than its own parameters cost. A distribution is smoothed by absolute discounting into that of the
-suffix, down to the root. Each word is scored in the state of the longest retained suffix of the words before it.
-
-Word counts are exact, cover the whole corpus and grow with it. The tree's own parts are bounded by the shares: words
-below `symbol_share` are one symbol to the tree (and told apart by their counts, which are joined to the texts), at
-most 1 / share words, contexts per depth and edges per depth can reach a share, and only these are broadcast.
+A state of the tree is a context of up to `depth` words. Every context of the training texts is a candidate; it is
+retained if its next-word distribution diverges from that of its longest retained proper suffix by more than its own
+parameters cost. A distribution is smoothed by absolute discounting into that of the suffix, down to the root, the
+counts of single words. Each word is scored in the state of the longest retained suffix of the words before it.
+
+The tree is never in one place. Texts lie in blocks. A block adds up its own runs of words and asks the bucket of each run,
+by hash, for the total over all blocks; a run is asked for once by a block, however frequent it is. Runs whose parts
+occur in one block only need no question. In further rounds the owner of each edge, which is one block, adds it to its
+context's number of edges and divergence, and the blocks learn from the buckets which contexts are retained. So all that
+is held at once is a block, or what the blocks ask of a bucket, and what is counted grows with the corpus.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeline.llm.common import staged, text_column, word_hashes, words
+from lodgeline.llm.common import mixed, staged, text_column, word_hashes, words
 
 #: Hash that stands for the end of a text.
 END = np.uint64(0x5BD1E9955BD1E995)
-#: Bits of a symbol number in the code of a context.
+#: Bits of a symbol number in the code of a context of a tree in memory.
 SYMBOL_BITS = 20
 #: Taken off each edge's count and given to the shorter context.
 DISCOUNT = 0.5
+#: Words of a block, about; a text is never cut.
+BLOCK_WORDS = 500_000
+#: Words of a corpus for which one set of buckets serves, and buckets of a set.
+SET_WORDS, SET_BUCKETS = 1_000_000_000, 256
+#: Buckets of a corpus of a few blocks.
+FEW_BUCKETS = 16
+
+#: Round in which runs of a size, or contexts of a depth, are asked for, less that size or depth.
+ROUNDS = {"count": -1, "edges": 1, "gain": 2}
+
+BLOCK = (
+    "doc_ids array<long>, held_out array<boolean>, sizes array<int>, vocabulary array<long>, codes array<int>, n_train long"
+)
+QUESTION = "block long, bucket int, kind string, keys array<long>, n array<long>, gain array<double>"
+#: Flags: 1 for the owner of a run, 2 if another block has asked too, 4 if the sum of gains is positive.
+ANSWER = "block long, bucket int, kind string, total array<long>, flags array<tinyint>"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 @dataclass
@@ -64,36 +84,11 @@ def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-@dataclass
-class Stream:
-    """The texts of a batch, end to end, as symbols."""
-
-    symbols: np.ndarray
-    starts: np.ndarray
-
-    @staticmethod
-    def of(column: pa.ListArray) -> Stream:
-        sizes = np.diff(column.offsets.to_numpy())
-        return Stream(column.flatten().to_numpy().astype(np.int64), np.cumsum(sizes) - sizes)
-
-    def contexts(self, depth: int) -> np.ndarray:
-        """Code of the `depth` symbols before each place, -1 where the text has fewer."""
-        n = len(self.symbols)
-        inside = np.arange(n)
-        starts = self.starts[self.starts < n]
-        place = np.zeros(n, np.int64)
-        place[starts] = starts
-        inside = inside - np.maximum.accumulate(place)
-        out = np.zeros(n, np.int64)
-        for k in range(depth, 0, -1):
-            before = np.zeros(n, np.int64)
-            before[k:] = self.symbols[: n - k] if k <= n else 0
-            out = (out << SYMBOL_BITS) | before
-        return np.where(inside >= depth, out, -1)
-
-
 class Tree:
-    """Retained contexts by depth, and the edges of all states; state 0 is the root."""
+    """The same tree in memory, for corpora whose counts fit there.
+
+    Retained contexts by depth, and the edges of all states; state 0 is the root.
+    """
 
     def __init__(self, root: np.ndarray):
         self.root = root
@@ -155,149 +150,274 @@ class Tree:
         self.states.append(state[retained])
 
 
-def _totals(pairs: Iterator[np.ndarray], names: list[str], at_once: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Keys with their numbers, added up over about so many keys at a time."""
-    held: list[np.ndarray] = []
-    size = 0
-    for keys in pairs:
-        held.append(keys)
-        size += len(keys)
-        if size >= at_once:
-            unique, n = np.unique(np.concatenate(held), return_counts=True)
-            yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(n)], names)
-            held, size = [], 0
-    if size:
-        unique, n = np.unique(np.concatenate(held), return_counts=True)
-        yield pa.record_batch([pa.array(unique.view(np.int64)), pa.array(n)], names)
-
-
-def _word_counts(texts: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tokens() -> Iterator[np.ndarray]:
-            for batch in batches:
-                for text in batch.column(0):
-                    yield np.append(word_hashes(words(text.as_py())), END)
-
-        return _totals(tokens(), ["token", "n"])
-
-    return texts.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-
-
-def _as_symbols(documents: DataFrame, symbols) -> DataFrame:
-    """doc_id, held_out, symbols of the text, and hashes of its rare words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Symbols = symbols.value
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                own, rare = [], []
-                for text in part.column(2):
-                    hashes = np.append(word_hashes(words(text.as_py())), END)
-                    found = known.of(hashes)
-                    own.append(found.astype(np.int32))
-                    rare.append(hashes[found == known.rare].view(np.int64))
-                columns = [pa.array(own, pa.list_(pa.int32())), pa.array(rare, pa.list_(pa.int64()))]
-                yield pa.record_batch([part.column(0), part.column(1), *columns], ["doc_id", "held_out", "symbols", "rare"])
-
-    return documents.mapInArrow(run, "doc_id long, held_out boolean, symbols array<int>, rare array<long>")
-
-
-def _edge_counts(training: DataFrame, shared, depth: int) -> DataFrame:
-    """key (number of the context, then the symbol after it), n; `shared` has the codes of the candidates."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = shared.value
-
-        def keys() -> Iterator[np.ndarray]:
-            for batch in batches:
-                for start in range(0, batch.num_rows, 1000):
-                    stream = Stream.of(batch.column(0).slice(start, 1000))
-                    at = _found(codes, stream.contexts(depth))
-                    own = at >= 0
-                    yield at[own] << (SYMBOL_BITS + 1) | stream.symbols[own]
-
-        return _totals(keys(), ["key", "n"])
-
-    return training.select("symbols").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _symbols(counts: DataFrame, share: float) -> Symbols:
-    whole = counts.agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
-    total, kinds = whole["total"] or 0, whole["kinds"]
-    own = counts.where(F.col("n") >= share * total).toArrow()
-    hashes = own.column("token").to_numpy().view(np.uint64)
-    n = own.column("n").to_numpy()
-    order = np.argsort(hashes)
-    return Symbols(hashes[order], n[order], total - int(n.sum()), kinds - len(n), total, kinds)
-
-
-def learn(
-    training: DataFrame, symbols: Symbols, context_share: float, edge_share: float, depth: int
-) -> Tree:
-    """The tree, from the symbols of the training texts.
+@dataclass
+class Runs:
+    """The runs of `size` words of a block: a number for each place where one ends (-1 where the text has fewer words).
 
-    A candidate of depth d + 1 is an edge of a candidate of depth d, whether that was retained or not.
+    The first numbers are those of `keys`; after them, each place of a run that occurs nowhere else has its own.
     """
-    tree = Tree(symbols.root())
-    spark = training.sparkSession
-    every = np.append(symbols.counts, symbols.rare_count)
-    codes = np.flatnonzero(every >= max(1.0, context_share * symbols.total))
-    for d in range(1, depth + 1):
-        if not len(codes):
-            break
-        shared = spark.sparkContext.broadcast(codes)
-        counted = staged(_edge_counts(training, shared, d), f"edges-{d}")
-        owner = F.shiftright("key", SYMBOL_BITS + 1)
-        sums = counted.groupBy(owner.alias("owner")).agg(F.sum("n").alias("n")).toArrow()
-        totals = np.zeros(len(codes), np.int64)
-        totals[sums.column("owner").to_numpy()] = sums.column("n").to_numpy()
-        own = counted.where(F.col("n") >= max(1.0, edge_share * symbols.total)).toArrow()
-        key, count = own.column("key").to_numpy(), own.column("n").to_numpy()
-        order = np.argsort(key)
-        key, count = key[order], count[order]
-        owner_of, symbol = key >> (SYMBOL_BITS + 1), key & ((1 << (SYMBOL_BITS + 1)) - 1)
-        # Contexts that nothing follows in training have no distribution.
-        alive = np.flatnonzero(totals > 0)
-        number = np.zeros(len(codes), np.int64)
-        number[alive] = np.arange(len(alive))
-        tree.grow(codes[alive], totals[alive], number[owner_of], symbol, count)
-        frequent = (count >= max(1.0, context_share * symbols.total)) & (symbol != _end_symbol(symbols))
-        # The edge's symbol becomes the latest word of the longer context.
-        codes = np.sort(codes[owner_of[frequent]] << SYMBOL_BITS | symbol[frequent])
-    return tree
-
-
-def _end_symbol(symbols: Symbols) -> int:
-    return int(symbols.of(np.array([END], np.uint64))[0])
-
-
-def _scored(rows: DataFrame, shared) -> DataFrame:
-    """What the tree says of each text, and what is known of its symbols; rare words count without their own share."""
+
+    number: np.ndarray
+    keys: np.ndarray
+    total: np.ndarray
+    own: np.ndarray
+    shared: np.ndarray
+    repeated: np.ndarray
+    #: Places that stand for a run of the training texts, one in all blocks for each run.
+    edges: np.ndarray
+
+
+class Block:
+    """Scores the texts of a block, as far as the answers known so far reach; `asked` has the open questions."""
+
+    def __init__(self, row: dict, answers: dict, depth: int, number: int):
+        self.answers, self.depth, self.number = answers, depth, number
+        self.asked: list[tuple[str, np.ndarray, np.ndarray]] = []
+        sizes = row["sizes"]
+        self.starts = np.cumsum(sizes) - sizes
+        self.vocabulary, self.codes = row["vocabulary"].view(np.uint64), row["codes"]
+        self.train = np.repeat(~row["held_out"], sizes)
+        self.inside = np.arange(len(self.codes)) - np.repeat(self.starts, sizes)
+        self.runs: list[Runs | None] = []
+        #: log10 of the probability of each word, in the tree and by its own count.
+        self.logs: tuple[np.ndarray, np.ndarray] | None = None
+
+    def ask(self, what: str, size: int, keys: np.ndarray, values: np.ndarray):
+        """Totals and flags of the keys (ascending), None until they are known.
+
+        All blocks ask the same in one round, also one that could go on before.
+        """
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int8)
+        kind = f"{what}{size}"
+        if size + ROUNDS[what] == self.number:
+            self.asked.append((kind, keys, values))
+        return self.answers.get(kind)
+
+    def counted(self, size: int, ends: np.ndarray, before: Runs | None) -> Runs | None:
+        """The runs of `size` words, whose hashes by last word are `ends`, from those one word shorter."""
+        n = len(ends)
+        if size == 1:
+            order = np.argsort(self.vocabulary)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            part, keys, inverse = np.arange(n), self.vocabulary[order], rank[self.codes]
+            asks = np.ones(len(keys), bool)
+        else:
+            # A run is as rare as the rarer of the two runs that it is made of.
+            part = np.flatnonzero(self.inside >= size - 1)
+            last, first = before.number[part], before.number[part - 1]
+            part = part[before.repeated[last] & before.repeated[first]]
+            last, first = before.number[part], before.number[part - 1]
+            keys, inverse = np.unique(ends[part], return_inverse=True)
+            asks = np.zeros(len(keys), bool)
+            asks[inverse[before.shared[last] & before.shared[first]]] = True
+        trained = np.flatnonzero(self.train[part])
+        total = np.bincount(inverse[trained], minlength=len(keys))
+        answer = self.ask("count", size, keys[asks], total[asks])
+        if answer is None:
+            return None
+        own, shared = total > 0, np.zeros(len(keys), bool)
+        repeated = np.bincount(inverse, minlength=len(keys)) > 1
+        total[asks] = answer[0]
+        own[asks] = answer[1] & 1 > 0
+        shared[asks] = answer[1] & 2 > 0
+        place = np.full(len(keys), -1)
+        place[inverse[trained[::-1]]] = part[trained[::-1]]
+        number = np.full(n, -1)
+        number[part] = inverse
+        single = np.flatnonzero((number < 0) & (self.inside >= size - 1))
+        number[single] = len(keys) + np.arange(len(single))
+        alone, no = self.train[single], np.zeros(len(single), bool)
+        return Runs(
+            number,
+            keys,
+            np.concatenate((total, alone)),
+            np.concatenate((own, alone)),
+            np.concatenate((shared, no)),
+            np.concatenate((repeated | shared, no)),
+            np.concatenate((place[own], single[alone])),
+        )
+
+    def run(self, train_tokens: int, kinds: int, symbol_share: float, context_share: float) -> None:
+        words_at = self.vocabulary[self.codes]
+        ends, runs = words_at, None
+        for size in range(1, self.depth + 2):
+            if size > 1:
+                # The hash of a run is that of the run one word shorter at the word before, and the last word.
+                shorter = np.zeros(len(ends), np.uint64)
+                shorter[1:] = ends[:-1]
+                ends = mixed(shorter + words_at * np.uint64(0x9E3779B97F4A7C15))
+            runs = self.counted(size, ends, runs)
+            if runs is None:
+                break
+            self.runs.append(runs)
+        if not self.runs or not kinds and train_tokens:
+            return
+        single = self.runs[0]
+        count = single.total[single.number]
+        root = (count + 1.0) / (train_tokens + kinds + 1.0)
+        probability: np.ndarray | None = root
+        for depth in range(1, len(self.runs)):
+            probability = self.deeper(depth, probability, train_tokens, symbol_share, context_share)
+        if len(self.runs) == self.depth + 1 and probability is not None:
+            self.logs = np.log10(probability), np.log10(root)
+
+    def deeper(self, depth: int, below: np.ndarray | None, train_tokens: int, symbol_share: float, context_share: float):
+        """Probability of each word if contexts have up to `depth` words, given that for shorter ones."""
+        contexts, edges = self.runs[depth - 1], self.runs[depth]
+        at = np.flatnonzero(self.inside >= depth)
+        owner = np.full(len(self.codes), -1)
+        owner[at] = contexts.number[at - 1]
+        shared = np.flatnonzero(contexts.shared)
+        of = owner[edges.edges]
+        kinds = np.bincount(of, minlength=len(contexts.total))
+        answer = self.ask("edges", depth, contexts.keys[shared], kinds[shared])
+        if answer is None or below is None:
+            return None
+        kinds[shared] = answer[0]
+        n = contexts.total.astype(float)
+        rest = DISCOUNT * kinds / np.maximum(n, 1.0)
+        count = edges.total[edges.number[edges.edges]]
+        own = below[edges.edges]
+        smooth = (count - DISCOUNT) / n[of] + rest[of] * own
+        gain = np.bincount(of, count * np.log(smooth / own), len(n)).astype(float)
+        # An edge and a state each cost what describing them to a precision fit for n samples does.
+        gain -= np.where(contexts.own, 0.5 * np.log(n + 1.0) * (1.0 + kinds), 0.0)
+        answer = self.ask("gain", depth, contexts.keys[shared], gain[shared])
+        if answer is None:
+            return None
+        retained = (gain > 0) & (n > 0)
+        retained[shared] = answer[1] & 4 > 0
+        retained &= n >= context_share * train_tokens
+        if symbol_share:
+            seldom = self.runs[0].total[self.runs[0].number] < symbol_share * train_tokens
+            for back in range(1, depth + 1):
+                retained[owner[at[seldom[at - back]]]] = False
+        out = below.copy()
+        at = at[retained[owner[at]]]
+        of, count = owner[at], edges.total[edges.number[at]]
+        out[at] = np.maximum(0.0, count - DISCOUNT) / n[of] + rest[of] * below[at]
+        return out
+
+    def sums(self) -> list[np.ndarray]:
+        """Words of each text, known words, base score and score."""
+        single = self.runs[0]
+        known = single.total[single.number] > 0
+        score, base = self.logs
+        size = np.diff(np.append(self.starts, len(self.codes)))
+        return [size, *(np.add.reduceat(x, self.starts) for x in (known.astype(np.int64), base, score))]
+
+
+def _blocks(documents: DataFrame, block_words: int) -> DataFrame:
+    """doc_id, held_out and text, as blocks of whole texts."""
+
+    def packed(held: list) -> pa.RecordBatch:
+        ids, outs, hashes = zip(*held)
+        coded = pa.array(np.concatenate(hashes)).dictionary_encode()
+        sizes = np.array([len(h) for h in hashes], np.int32)
+        n_train = int(sizes[~np.array(outs)].sum())
+        vocabulary = coded.dictionary.to_numpy().view(np.int64)
+        columns = [pa.array([x]) for x in (list(ids), list(outs))]
+        types = [pa.list_(pa.int64()), pa.list_(pa.bool_())]
+        columns = [c.cast(t) for c, t in zip(columns, types)]
+        columns += [_one_list(x) for x in (sizes, vocabulary, coded.indices.to_numpy())]
+        names = ["doc_ids", "held_out", "sizes", "vocabulary", "codes", "n_train"]
+        return pa.record_batch([*columns, pa.array([n_train])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, tree = shared.value
-        counts = np.append(symbols.counts, 0)
-        base = np.log10((counts + 1.0) / (symbols.total + symbols.kinds + 1.0))
-        base[-1] = 0.0
-        known = np.append(symbols.counts > 0, False).astype(np.int64)
+        held, size = [], 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
-                stream = Stream.of(part.column(3))
-                state = tree.longest([stream.contexts(d + 1) for d in range(len(tree.codes))])
-                if not tree.codes:
-                    state = np.zeros(len(stream.symbols), np.int64)
-                logs = np.log10(tree.probability(state, stream.symbols))
-                at = stream.starts
-                sums = [np.add.reduceat(x, at) for x in (logs, base[stream.symbols], known[stream.symbols])]
-                n = np.diff(np.append(at, len(stream.symbols)))
-                columns = [pa.array(x) for x in (n, *sums)]
-                names = ["row", "doc_id", "held_out", "n_tokens", "tree_log", "base_log", "n_symbols"]
-                yield pa.record_batch([*part.columns[:3], *columns], names)
-
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, tree_log double, base_log double, n_symbols long"
-    return rows.select("row", "doc_id", "held_out", "symbols").mapInArrow(run, schema)
+            for doc_id, out, text in zip(*batch.columns):
+                hashes = np.append(word_hashes(words(text.as_py())), END)
+                held.append((doc_id.as_py(), out.as_py(), hashes))
+                size += len(hashes)
+                if size >= block_words:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return documents.mapInArrow(run, BLOCK).withColumn("block", F.monotonically_increasing_id())
+
+
+def _one_list(values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.array([0, len(values)], np.int32), pa.array(values))
+
+
+def _read(block: pa.Table, answers: pa.Table, depth: int, number: int) -> tuple[int, dict, Block]:
+    row = {c: block.column(c).combine_chunks() for c in block.column_names}
+    lists = {c: row[c].flatten() for c in ("doc_ids", "held_out", "sizes", "vocabulary", "codes")}
+    arrays = {c: lists[c].to_numpy(zero_copy_only=False) for c in ("sizes", "vocabulary", "codes")}
+    arrays["held_out"] = lists["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+    known = {}
+    for kind in answers.column("kind").unique().to_pylist():
+        own = answers.filter(pa.compute.equal(answers.column("kind"), kind)).sort_by("bucket")
+        known[kind] = tuple(own.column(c).combine_chunks().flatten().to_numpy() for c in ("total", "flags"))
+    return row["block"][0].as_py(), lists, Block(arrays, known, depth, number)
+
+
+def _questions(block: int, asked: list, buckets: int) -> pa.Table:
+    """A row for each kind and bucket; the buckets cut the keys' order into ranges."""
+    schema = pa.schema(
+        [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.string()), ("keys", pa.list_(pa.int64()))]
+        + [("n", pa.list_(pa.int64())), ("gain", pa.list_(pa.float64()))]
+    )
+    tables = [schema.empty_table()]
+    for kind, keys, values in asked:
+        of = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        bucket, starts = np.unique(of, return_index=True)
+        offsets = pa.array(np.append(starts, len(keys)).astype(np.int32))
+        given = pa.ListArray.from_arrays(offsets, pa.array(values))
+        size, gains = len(bucket), kind.startswith("gain")
+        columns = [
+            pa.array(np.full(size, block)),
+            pa.array(bucket.astype(np.int32)),
+            pa.array([kind] * size),
+            pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))),
+            pa.nulls(size, schema.field("n").type) if gains else given,
+            given if gains else pa.nulls(size, schema.field("gain").type),
+        ]
+        tables.append(pa.Table.from_arrays(columns, schema=schema))
+    return pa.concat_tables(tables)
+
+
+def _answers(questions: pa.Table) -> pa.Table:
+    """The totals of a bucket's keys, for each block that has asked, in the order of its question."""
+    questions = questions.sort_by("block").combine_chunks()
+    kind = questions.column("kind")[0].as_py()
+    lists = questions.column("keys").combine_chunks()
+    keys, inverse = np.unique(lists.flatten().to_numpy().view(np.uint64), return_inverse=True)
+    values = questions.column("gain" if kind.startswith("gain") else "n").combine_chunks().flatten().to_numpy()
+    # Blocks are added in one order, so that sums do not depend on how rows arrive.
+    sums = np.bincount(inverse, values, len(keys))
+    flags = np.zeros(len(inverse), np.int8)
+    total = np.zeros(len(inverse), np.int64)
+    if kind.startswith("gain"):
+        flags[(sums > 0)[inverse]] = 4
+    else:
+        total = np.rint(sums).astype(np.int64)[inverse]
+    if kind.startswith("count"):
+        flags[(np.bincount(inverse) > 1)[inverse]] = 2
+        trained = np.flatnonzero(values)[::-1]
+        first = np.full(len(keys), -1)
+        first[inverse[trained]] = trained
+        flags[first[first >= 0]] |= 1
+    offsets = pa.array(np.append(0, np.cumsum(lists.value_lengths().to_numpy())).astype(np.int32))
+    out = {c: questions.column(c) for c in ("block", "bucket", "kind")}
+    return pa.table(out | {k: pa.ListArray.from_arrays(offsets, pa.array(v)) for k, v in (("total", total), ("flags", flags))})
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a written stage go when it is written; nothing reads them again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def held_out():
@@ -306,44 +426,48 @@ def held_out():
 
 def suffix_tree_scores(
     documents: DataFrame,
-    symbol_share: float = 1e-6,
-    context_share: float = 1e-4,
-    edge_share: float = 2.5e-7,
+    symbol_share: float = 0.0,
+    context_share: float = 0.0,
     depth: int = 3,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """Scores of every whole text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learnt from the documents that are not held out. Each text ends in one more token, so a null or empty text has one
     token. Null ids are not held out. Repeated rows are learnt from and scored each; an empty table gives no rows, and
     a corpus without training texts gives every token the probability 1. Other columns are ignored.
+
+    By default every context that occurs is tested. Contexts that make up less than `context_share` of the training
+    tokens, or hold a word below `symbol_share`, are not retained. Runs of words are told apart by 64-bit hashes.
     """
-    if not 1 / symbol_share < 2**SYMBOL_BITS:
-        raise ValueError("too many symbols")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_column().alias("text"))
     spark = documents.sparkSession
-    counts = staged(_word_counts(rows.where("NOT held_out").select("text")), "word-counts")
-    symbols = _symbols(counts, symbol_share)
-    coded = _as_symbols(rows, spark.sparkContext.broadcast(symbols))
-    coded = staged(coded.withColumn("row", F.monotonically_increasing_id()), "symbols")
-    tree = learn(coded.where("NOT held_out"), symbols, context_share, edge_share, depth)
-    scored = _scored(coded, spark.sparkContext.broadcast((symbols, tree)))
-
-    seldom = counts.where(F.col("n") < symbol_share * symbols.total)
-    rare = coded.select("row", F.explode("rare").alias("token")).join(seldom, "token", "left")
-    plus_one = F.log10(F.coalesce("n", F.lit(0)) + 1.0)
-    own = rare.groupBy("row").agg(
-        F.sum(plus_one).alias("logs"), F.count("n").alias("n_rare_known"), F.count("*").alias("n_rare")
-    )
-    joined = scored.join(own.withColumnRenamed("row", "_row"), F.col("row") == F.col("_row"), "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    base_size = F.lit(float(np.log10(symbols.total + symbols.kinds + 1)))
-    rare_size = F.lit(float(np.log10(symbols.rare_count + symbols.rare_kinds + 1)))
-    return joined.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_symbols") + zero("n_rare_known")).alias("n_known"),
-        F.lit(symbols.total).cast("long").alias("train_tokens"),
-        (F.col("base_log") + zero("logs") - zero("n_rare") * base_size).alias("base_score"),
-        (F.col("tree_log") + zero("logs") - zero("n_rare") * rare_size).alias("score"),
-    )
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_column().alias("text"))
+    blocks = staged(_blocks(rows, block_words), "blocks")
+    whole = blocks.agg(F.sum("n_train").alias("n_train"), F.sum(F.size("codes").cast("long")).alias("n")).first()
+    train_tokens, tokens = whole["n_train"] or 0, whole["n"] or 0
+    buckets = FEW_BUCKETS if tokens < 8 * block_words else SET_BUCKETS * (1 + tokens // SET_WORDS)
+    answers, kinds = spark.createDataFrame([], ANSWER), 0
+
+    def asks(block: pa.Table, known: pa.Table) -> pa.Table:
+        name, _, own = _read(block, known, depth, number)
+        own.run(train_tokens, kinds, symbol_share, context_share)
+        return _questions(name, own.asked, buckets)
+
+    def scores(block: pa.Table, known: pa.Table) -> pa.Table:
+        _, lists, own = _read(block, known, depth, -1)
+        own.run(train_tokens, kinds, symbol_share, context_share)
+        size, n_known, base, score = own.sums()
+        columns = [lists["doc_ids"], lists["held_out"], size, n_known, np.full(len(size), train_tokens), base, score]
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        return pa.table(dict(zip(names, columns)))
+
+    # Runs of each size, then the number of edges and the divergence of the deepest contexts.
+    for number in range(depth + 3 if depth else 1):
+        questions = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(asks, QUESTION)
+        with _shuffles_dropped(spark):
+            told = staged(questions.groupBy("bucket", "kind").applyInArrow(_answers, ANSWER), f"answers-{number}")
+        if not number:
+            owned = F.size(F.filter("flags", lambda flag: flag.bitwiseAND(F.lit(1)) > 0))
+            kinds = told.agg(F.sum(owned.cast("long"))).first()[0] or 0
+        answers = told if not number else answers.union(told)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scores, SCORES)

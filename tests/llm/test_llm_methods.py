@@ -104,6 +104,63 @@ def test_tree_is_a_distribution_and_uses_the_longest_suffix():
     assert tree.probability(deep, np.array([2]))[0] > 0.7 > tree.probability(shallow, np.array([2]))[0]
 
 
+def plain_scores(split: dict, depth: int) -> dict:
+    """The tree by its definition: every context of the training texts is tested, shorter ones first."""
+    training = [own for k, own in split.items() if zlib.crc32(str(k).encode()) % 7 != 2]
+    counts = Counter(w for own in training for w in own)
+    n, v = sum(counts.values()), len(counts)
+    follow: dict[tuple, Counter] = defaultdict(Counter)
+    for own in training:
+        for d in range(1, depth + 1):
+            for k in range(d, len(own)):
+                follow[tuple(own[k - d : k])][own[k]] += 1
+    retained: set[tuple] = set()
+
+    def probability(context: tuple, word) -> float:
+        while context and context not in retained:
+            context = context[1:]
+        if not context:
+            return (counts[word] + 1) / (n + v + 1)
+        found = follow[context]
+        rest = scoring.DISCOUNT * len(found) * probability(context[1:], word)
+        return (max(0, found[word] - scoring.DISCOUNT) + rest) / found.total()
+
+    for context in sorted(follow, key=len):
+        found = follow[context]
+        retained.add(context)
+        gain = sum(c * math.log(probability(context, w) / probability(context[1:], w)) for w, c in found.items())
+        if gain <= 0.5 * math.log(found.total() + 1) * (1 + len(found)):
+            retained.remove(context)
+    return {
+        k: sum(math.log10(probability(tuple(own[max(0, i - depth) : i]), w)) for i, w in enumerate(own)) for k, own in split.items()
+    }
+
+
+@pytest.mark.parametrize("block_words", [40, 1_000_000])
+def test_every_context_is_tested_in_one_block_or_many(spark, block_words):
+    rng = random.Random(5)
+    names = [f"w{k}" for k in range(40)]
+    texts = {k: " ".join(rng.choices(names, [1 / (j + 1) for j in range(40)], k=rng.randrange(30))) for k in range(60)}
+    texts |= {60: None, 61: "a b c d " * 9, 62: texts[3], 63: texts[3], 64: "once only here", 65: "W0 w0 w0 w0 w0 w1 once"}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    expected = plain_scores({k: [*words(t or ""), None] for k, t in texts.items()}, 3)
+    for r in scoring.suffix_tree_scores(table, block_words=block_words).collect():
+        assert r["score"] == pytest.approx(expected[r["doc_id"]])
+
+
+def test_a_context_counts_however_large_the_corpus(spark):
+    # Each word of the three occurs 3 times in some 60,000 tokens, below a share of 1e-4.
+    rows = [(k, "rareword follows always " + " ".join(f"f{(k * 31 + j) % 977}" for j in range(600))) for k in (1, 2, 3)]
+    rows += [(k, " ".join(f"f{(k * 37 + j * j) % 977}" for j in range(600))) for k in range(10, 110)]
+    held = next(k for k in range(1000, 2000) if zlib.crc32(str(k).encode()) % 7 == 2)
+    rows += [(held, "rareword follows always"), (held + 10_000, "")]
+    found = {r["doc_id"]: r for r in scoring.suffix_tree_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    own = found[held]
+    assert own["held_out"] and own["n_known"] == 4
+    # The words that follow a known one cost little; the first and the end cost what they do by count.
+    assert own["score"] > own["base_score"] / 2
+
+
 # Pages
 
 
