@@ -14,6 +14,7 @@ is held at once is a block, or what the blocks ask of a bucket, and what is coun
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeline.llm.common import mixed, staged, text_column, word_hashes, words
+from lodgeline.scratch import scratch_path
 
 #: Hash that stands for the end of a text.
 END = np.uint64(0x5BD1E9955BD1E995)
@@ -44,9 +46,10 @@ ROUNDS = {"count": -1, "edges": 1, "gain": 2}
 BLOCK = (
     "doc_ids array<long>, held_out array<boolean>, sizes array<int>, vocabulary array<long>, codes array<int>, n_train long"
 )
-QUESTION = "block long, bucket int, kind string, keys array<long>, n array<long>, gain array<double>"
+#: A shared run is asked for again by its place among those of its bucket, as the step from the place before.
+QUESTION = "block long, bucket int, kind string, keys array<long>, steps array<int>, n array<int>, gain array<double>"
 #: Flags: 1 for the owner of a run, 2 if another block has asked too, 4 if the sum of gains is positive.
-ANSWER = "block long, bucket int, kind string, total array<long>, flags array<tinyint>"
+ANSWER = "block long, bucket int, kind string, total array<long>, flags array<tinyint>, steps array<int>"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -162,6 +165,8 @@ class Runs:
     total: np.ndarray
     own: np.ndarray
     shared: np.ndarray
+    #: Of the shared runs, what finds them in their bucket.
+    steps: np.ndarray
     repeated: np.ndarray
     #: Places that stand for a run of the training texts, one in all blocks for each run.
     edges: np.ndarray
@@ -172,7 +177,7 @@ class Block:
 
     def __init__(self, row: dict, answers: dict, depth: int, number: int):
         self.answers, self.depth, self.number = answers, depth, number
-        self.asked: list[tuple[str, np.ndarray, np.ndarray]] = []
+        self.asked: list[tuple[str, np.ndarray, np.ndarray | None, np.ndarray]] = []
         sizes = row["sizes"]
         self.starts = np.cumsum(sizes) - sizes
         self.vocabulary, self.codes = row["vocabulary"].view(np.uint64), row["codes"]
@@ -182,16 +187,16 @@ class Block:
         #: log10 of the probability of each word, in the tree and by its own count.
         self.logs: tuple[np.ndarray, np.ndarray] | None = None
 
-    def ask(self, what: str, size: int, keys: np.ndarray, values: np.ndarray):
-        """Totals and flags of the keys (ascending), None until they are known.
+    def ask(self, what: str, size: int, keys: np.ndarray, values: np.ndarray, steps: np.ndarray | None = None):
+        """Totals and flags of the keys (ascending) and steps of the shared ones, None until they are known.
 
         All blocks ask the same in one round, also one that could go on before.
         """
         if not len(keys):
-            return np.zeros(0, np.int64), np.zeros(0, np.int8)
+            return np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.int32)
         kind = f"{what}{size}"
         if size + ROUNDS[what] == self.number:
-            self.asked.append((kind, keys, values))
+            self.asked.append((kind, keys, steps, values))
         return self.answers.get(kind)
 
     def counted(self, size: int, ends: np.ndarray, before: Runs | None) -> Runs | None:
@@ -235,6 +240,7 @@ class Block:
             np.concatenate((total, alone)),
             np.concatenate((own, alone)),
             np.concatenate((shared, no)),
+            answer[2],
             np.concatenate((repeated | shared, no)),
             np.concatenate((place[own], single[alone])),
         )
@@ -272,7 +278,7 @@ class Block:
         shared = np.flatnonzero(contexts.shared)
         of = owner[edges.edges]
         kinds = np.bincount(of, minlength=len(contexts.total))
-        answer = self.ask("edges", depth, contexts.keys[shared], kinds[shared])
+        answer = self.ask("edges", depth, contexts.keys[shared], kinds[shared], contexts.steps)
         if answer is None or below is None:
             return None
         kinds[shared] = answer[0]
@@ -284,7 +290,7 @@ class Block:
         gain = np.bincount(of, count * np.log(smooth / own), len(n)).astype(float)
         # An edge and a state each cost what describing them to a precision fit for n samples does.
         gain -= np.where(contexts.own, 0.5 * np.log(n + 1.0) * (1.0 + kinds), 0.0)
-        answer = self.ask("gain", depth, contexts.keys[shared], gain[shared])
+        answer = self.ask("gain", depth, contexts.keys[shared], gain[shared], contexts.steps)
         if answer is None:
             return None
         retained = (gain > 0) & (n > 0)
@@ -341,6 +347,19 @@ def _blocks(documents: DataFrame, block_words: int) -> DataFrame:
     return documents.mapInArrow(run, BLOCK).withColumn("block", F.monotonically_increasing_id())
 
 
+def _by_block(rows: DataFrame, label: str) -> DataFrame:
+    """`rows`, written in buckets of the block, so that the rounds bring answers to them and never shuffle them again."""
+    spark = rows.sparkSession
+    parts, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"lodgeline_{label}_{uuid.uuid4().hex}"
+    writer = rows.repartition(parts, "block").write.option("compression", "zstd").option("path", scratch_path(spark, f"llm-{label}"))
+    with _shuffles_dropped(spark):
+        writer.bucketBy(parts, "block").sortBy("block").saveAsTable(name)
+    table = spark.table(name)
+    # The files stay; only their name goes.
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def _one_list(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(np.array([0, len(values)], np.int32), pa.array(values))
 
@@ -353,7 +372,7 @@ def _read(block: pa.Table, answers: pa.Table, depth: int, number: int) -> tuple[
     known = {}
     for kind in answers.column("kind").unique().to_pylist():
         own = answers.filter(pa.compute.equal(answers.column("kind"), kind)).sort_by("bucket")
-        known[kind] = tuple(own.column(c).combine_chunks().flatten().to_numpy() for c in ("total", "flags"))
+        known[kind] = tuple(own.column(c).combine_chunks().flatten().to_numpy() for c in ("total", "flags", "steps"))
     return row["block"][0].as_py(), lists, Block(arrays, known, depth, number)
 
 
@@ -361,20 +380,21 @@ def _questions(block: int, asked: list, buckets: int) -> pa.Table:
     """A row for each kind and bucket; the buckets cut the keys' order into ranges."""
     schema = pa.schema(
         [("block", pa.int64()), ("bucket", pa.int32()), ("kind", pa.string()), ("keys", pa.list_(pa.int64()))]
-        + [("n", pa.list_(pa.int64())), ("gain", pa.list_(pa.float64()))]
+        + [("steps", pa.list_(pa.int32())), ("n", pa.list_(pa.int32())), ("gain", pa.list_(pa.float64()))]
     )
     tables = [schema.empty_table()]
-    for kind, keys, values in asked:
+    for kind, keys, steps, values in asked:
         of = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         bucket, starts = np.unique(of, return_index=True)
         offsets = pa.array(np.append(starts, len(keys)).astype(np.int32))
-        given = pa.ListArray.from_arrays(offsets, pa.array(values))
         size, gains = len(bucket), kind.startswith("gain")
+        given = pa.ListArray.from_arrays(offsets, pa.array(values if gains else values.astype(np.int32)))
         columns = [
             pa.array(np.full(size, block)),
             pa.array(bucket.astype(np.int32)),
             pa.array([kind] * size),
-            pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))),
+            pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))) if steps is None else pa.nulls(size, schema.field("keys").type),
+            pa.nulls(size, schema.field("steps").type) if steps is None else pa.ListArray.from_arrays(offsets, pa.array(steps)),
             pa.nulls(size, schema.field("n").type) if gains else given,
             given if gains else pa.nulls(size, schema.field("gain").type),
         ]
@@ -386,26 +406,56 @@ def _answers(questions: pa.Table) -> pa.Table:
     """The totals of a bucket's keys, for each block that has asked, in the order of its question."""
     questions = questions.sort_by("block").combine_chunks()
     kind = questions.column("kind")[0].as_py()
-    lists = questions.column("keys").combine_chunks()
-    keys, inverse = np.unique(lists.flatten().to_numpy().view(np.uint64), return_inverse=True)
+    counts = kind.startswith("count")
+    lists = questions.column("keys" if counts else "steps").combine_chunks()
+    offsets = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+    given = lists.flatten().to_numpy()
+    if counts:
+        keys, inverse = np.unique(given.view(np.uint64), return_inverse=True)
+        size = len(keys)
+    else:
+        inverse = _places(given, offsets)
+        size = int(inverse.max()) + 1
     values = questions.column("gain" if kind.startswith("gain") else "n").combine_chunks().flatten().to_numpy()
     # Blocks are added in one order, so that sums do not depend on how rows arrive.
-    sums = np.bincount(inverse, values, len(keys))
-    flags = np.zeros(len(inverse), np.int8)
-    total = np.zeros(len(inverse), np.int64)
+    sums = np.bincount(inverse, values, size)
+    total, flags, steps = np.zeros(0, np.int64), np.zeros(0, np.int8), np.zeros(0, np.int32)
+    none = np.zeros(len(offsets), np.int64)
+    cuts = none
     if kind.startswith("gain"):
-        flags[(sums > 0)[inverse]] = 4
+        flags = np.where(sums > 0, 4, 0).astype(np.int8)[inverse]
     else:
         total = np.rint(sums).astype(np.int64)[inverse]
-    if kind.startswith("count"):
-        flags[(np.bincount(inverse) > 1)[inverse]] = 2
+    if counts:
+        shared = np.bincount(inverse) > 1
+        flags = np.where(shared, 2, 0).astype(np.int8)[inverse]
         trained = np.flatnonzero(values)[::-1]
-        first = np.full(len(keys), -1)
+        first = np.full(size, -1)
         first[inverse[trained]] = trained
         flags[first[first >= 0]] |= 1
-    offsets = pa.array(np.append(0, np.cumsum(lists.value_lengths().to_numpy())).astype(np.int32))
+        of = shared[inverse]
+        cuts = np.append(0, np.cumsum(of))[offsets]
+        steps = _steps((np.cumsum(shared) - 1)[inverse[of]], cuts)
     out = {c: questions.column(c) for c in ("block", "bucket", "kind")}
-    return pa.table(out | {k: pa.ListArray.from_arrays(offsets, pa.array(v)) for k, v in (("total", total), ("flags", flags))})
+    # Each kind has the lists that its asker reads.
+    for name, values, at in (("total", total, offsets), ("flags", flags, offsets), ("steps", steps, cuts)):
+        out[name] = pa.ListArray.from_arrays(pa.array((at if len(values) else none).astype(np.int32)), pa.array(values))
+    return pa.table(out)
+
+
+def _steps(places: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Steps between the ascending places of each list; the first of a list is from 0."""
+    out = np.diff(places, prepend=0)
+    starts = cuts[:-1][cuts[:-1] < cuts[1:]]
+    out[starts] = places[starts]
+    return out.astype(np.int32)
+
+
+def _places(steps: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The places that the steps of each list lead to."""
+    run = np.cumsum(steps, dtype=np.int64)
+    before = np.append(0, run)[cuts[:-1]]
+    return run - np.repeat(before, np.diff(cuts))
 
 
 @contextmanager
@@ -442,7 +492,7 @@ def suffix_tree_scores(
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_column().alias("text"))
-    blocks = staged(_blocks(rows, block_words), "blocks")
+    blocks = _by_block(_blocks(rows, block_words), "blocks")
     whole = blocks.agg(F.sum("n_train").alias("n_train"), F.sum(F.size("codes").cast("long")).alias("n")).first()
     train_tokens, tokens = whole["n_train"] or 0, whole["n"] or 0
     buckets = FEW_BUCKETS if tokens < 8 * block_words else SET_BUCKETS * (1 + tokens // SET_WORDS)
