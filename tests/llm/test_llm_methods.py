@@ -148,6 +148,40 @@ def test_every_context_is_tested_in_one_block_or_many(spark, block_words):
         assert r["score"] == pytest.approx(expected[r["doc_id"]])
 
 
+@pytest.mark.parametrize("part_words", [1, 12, 60])
+def test_hot_contexts_are_those_of_the_whole_tree(spark, part_words):
+    rng = random.Random(7)
+    names = [f"w{k}" for k in range(30)]
+    texts = {k: " ".join(rng.choices(names, [1 / (j + 1) for j in range(30)], k=rng.randrange(40))) for k in range(50)}
+    texts |= {50: "", 51: "w0 " * 300, 52: "w0 w1 w2 w3 " * 30, 53: texts[3], 54: texts[3], 55: "once only here", 56: "w0 w0 w0 w0 once2"}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    expected = plain_scores({k: [*words(t), None] for k, t in texts.items()}, 3)
+    found = {r["doc_id"]: r["score"] for r in scoring.suffix_tree_scores(table, block_words=150, part_words=part_words).collect()}
+    assert found.keys() == expected.keys()
+    for k in expected:
+        assert found[k] == pytest.approx(expected[k])
+
+
+def shuffled_bytes(spark) -> int:
+    context = spark.sparkContext
+    none = context._gateway.new_array(context._jvm.double, 0)
+    lists = context._jvm.java.util.ArrayList
+    stages = context._jsc.sc().statusStore().stageList(lists(), False, False, none, lists())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def test_each_place_of_a_text_is_sent_to_the_tree_once(spark):
+    rng = random.Random(9)
+    names = [f"n{k}" for k in range(20_000)]
+    weights = [1 / (k + 1) for k in range(20_000)]
+    rows = [(k, " ".join(rng.choices(names, weights, k=500))) for k in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").localCheckpoint()
+    before = shuffled_bytes(spark)
+    assert len(scoring.suffix_tree_scores(table, block_words=20_000).collect()) == 400
+    # Bytes a token; 82 when every round brought the earlier answers again.
+    assert shuffled_bytes(spark) - before < 30 * 400 * 501
+
+
 def test_a_context_counts_however_large_the_corpus(spark):
     # Each word of the three occurs 3 times in some 60,000 tokens, below a share of 1e-4.
     rows = [(k, "rareword follows always " + " ".join(f"f{(k * 31 + j) % 977}" for j in range(600))) for k in (1, 2, 3)]
